@@ -67,3 +67,11 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         seen = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files that nothing refers to any more, before the next large one."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -206,3 +206,20 @@ def held_out() -> Column:
 def learned(docs: DataFrame) -> DataFrame:
     """The rows that a model may learn from."""
     return docs.select("doc_id", "lang", "text").where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+
+
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs``, whole, that have a language holding at least ``least`` of their letters."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs, model.scripts))  # languages x BUCKETS floats
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        own.start()
+        for batch in batches:
+            found = [own.label(t.as_py()) for t in batch.column(at)]
+            yield batch.filter(pa.array([x[0] != "und" and x[1] >= least for x in found], pa.bool_()))
+            if len(own.index) > _MOST_CACHED:
+                own.start()
+
+    return docs.mapInArrow(run, docs.schema)

@@ -19,7 +19,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,27 +185,30 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
         .groupBy("_key")
         .agg(F.collect_list("ranges").alias("_copies"))
     )
-    columns = [F.explode("_texts").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    out = (
-        docs.alias("d")
-        .join(ranges, (F.col("_key.doc_id").eqNullSafe(F.col("d.doc_id"))) & (F.col("_key.source").eqNullSafe(F.col("d.source"))) & (F.col("_key.h") == F.xxhash64("d.text")))
-        .withColumn("_texts", F.pandas_udf(_cut_out, "array<string>")(F.col("d.text"), F.col("_copies")))
-        .select(*columns)
-    )
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
-
-
-def _cut_out(text: pd.Series, copies: pd.Series) -> pd.Series:
-    """The text of each copy: its word ranges, those that touch as they stand, others on new lines."""
-
-    def one(t: str, ranges: list) -> str:
-        spans = [m.span() for m in _WORD(t)]
-        joined: list[list[int]] = []
-        for r in ranges:
-            if joined and joined[-1][1] == r["from_word"]:
-                joined[-1][1] = r["to_word"]
-            else:
-                joined.append([r["from_word"], r["to_word"]])
-        return "\n".join(t[spans[a][0] : spans[b - 1][1]] for a, b in joined)
+    same = F.col("r._key.doc_id").eqNullSafe(F.col("d.doc_id")) & F.col("r._key.source").eqNullSafe(F.col("d.source")) & (F.col("r._key.h") == F.xxhash64("d.text"))
+    names, at = docs.columns, docs.columns.index("text")
 
-    return pd.Series([[one(t, r) for r in c] for t, c in zip(text, copies, strict=True)], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = [], []
+            for i, (text, copies) in enumerate(zip(batch.column(at), batch.column(len(names)).to_pylist(), strict=True)):
+                for ranges_ in copies:
+                    rows.append(i)
+                    texts.append(words_of(text.as_py(), ranges_))
+            taken_rows = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else taken_rows.column(k) for k in range(len(names))], names)
+
+    out = docs.alias("d").join(ranges.alias("r"), same).select(*[F.col(f"d.`{c}`") for c in names], F.col("r._copies")).mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
+
+
+def words_of(text: str, ranges: list[dict]) -> str:
+    """The words in the ranges: those that touch as they stand in the text, others on new lines."""
+    spans = [m.span() for m in _WORD(text)]
+    joined: list[list[int]] = []
+    for r in ranges:
+        if joined and joined[-1][1] == r["from_word"]:
+            joined[-1][1] = r["to_word"]
+        else:
+            joined.append([r["from_word"], r["to_word"]])
+    return "\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in joined)

@@ -96,3 +96,62 @@ def groups(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     rooted = prints.join(of.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "fp", F.coalesce("component", "fp").alias("root"))
     first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(first, "root").select("doc_id", "fp", "component_id")
+
+
+BINS, ROWS = 128, 4
+
+
+def sketch(text: bytes, words: int, seed: int) -> bytes:
+    """The smallest shingle hash of each of 128 bins, 32 bits each; an empty bin borrows the next one's."""
+    found = [h.copy() for h in shingle_hashes(text, words, seed)]
+    out = np.zeros(BINS, np.uint32)
+    if found:
+        h = np.sort(np.concatenate(found))
+        bins = h >> np.uint64(57)
+        first = np.concatenate(([True], bins[1:] != bins[:-1]))
+        full, low = bins[first].astype(np.int64), (h[first] >> np.uint64(25)).astype(np.uint32)
+        at = np.searchsorted(full, np.arange(BINS)) % len(full)
+        out = low[at] + ((full[at] - np.arange(BINS)) % BINS).astype(np.uint32) * np.uint32(0x9E3779B1)
+    return out.tobytes()
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """(doc_id, component_id) by shingle similarity (Jaccard) of at least ``similarity``.
+
+    Pairs that similar differ in up to sixteen fingerprint bits, out of the grid join's reach
+    (of near copies with similarity 0.8 or more, 6 % lie within 2 bits). So the shingles that
+    fingerprints would sum are sampled by minimum instead: documents with equal quadruples of
+    minima meet, each with a hub that differs from band to band, and the share of all 128
+    minima in common decides. Equal sketches are one node. Rows without doc_id are left out.
+    """
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sketch(t.as_py() or b"", words, seed) for t in b.column(1).cast(pa.binary())], pa.binary())], ["doc_id", "sketch"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, BINS) for c in (b.column(2), b.column(3)))
+            ok = np.flatnonzero((x == y).sum(axis=1) >= similarity * BINS)
+            yield pa.RecordBatch.from_arrays([b.column(k).take(pa.array(ok)) for k in (0, 1)], ["a", "b"])
+
+    drawn = cut(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(draw, "doc_id long, sketch binary"))
+    nodes = cut(drawn.groupBy("sketch").agg(F.min("doc_id").alias("id")))
+    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BINS // ROWS - 1)), lambda k: F.xxhash64(F.substring(F.col("sketch"), k * (4 * ROWS) + 1, F.lit(4 * ROWS)))))
+    bands = nodes.select("id", band.alias("band", "key"))
+    hubs = bands.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("band", "id").alias("r"), "id")).alias("hub"), F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y")
+    pairs = bands.join(hubs.select("band", "key", F.col("hub.id").alias("a")), ["band", "key"]).where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    both = pairs.join(nodes.select(F.col("id").alias("a"), F.col("sketch").alias("s")), "a").join(nodes.select(F.col("id").alias("b"), F.col("sketch").alias("t")), "b").select("a", "b", "s", "t")
+    of = components(both.mapInArrow(alike, "a long, b long"))
+    rooted = nodes.join(of, F.col("id") == F.col("node"), "left").select("sketch", F.coalesce("component", "id").alias("component_id"))
+    return drawn.join(rooted, "sketch").select("doc_id", "component_id")
+
+
+def first_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each group of similar ones: that of smallest doc_id, one row of it."""
+    groups_ = cut(similar_groups(docs, **options))
+    kept = groups_.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    out = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    if kept.where("n > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id"])
+    return out.unionByName(docs.where("doc_id is null"))
