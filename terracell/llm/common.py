@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +24,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as compressed Parquet in the same shared folder: for wide rows. Goes when the application ends."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    at = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(at)
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -69,9 +83,13 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files that nothing refers to any more, before the next large one."""
-    import gc
+def release(spark: SparkSession, times: int = 3) -> None:
+    """Let Spark drop shuffle files that nothing refers to any more, before the next large one.
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    Python lets go of plans first, then the JVM of their shuffles, then the cleaner of files;
+    each takes a moment.
+    """
+    for _ in range(times):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)

@@ -18,8 +18,8 @@ with null doc_id is predicted (held_out false) but never learned from; repeated
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS, PER_LANGUAGE, PENALTY, FLOOR = 1 << 16, 1500, 12.0, 3.0
+BITS, PER_LANGUAGE, PENALTY, FLOOR = 16, 1500, 12.0, 3.0
+BUCKETS, _MIX = 1 << BITS, np.uint64(0x9E3779B97F4A7C15)
 _MOST_CACHED = 1_000_000
 
 # First code points of Unicode ranges and their scripts ("" stands for none of these).
@@ -52,16 +53,23 @@ def letters(chunk: str) -> str:
     low = chunk.lower()
     if low.isalpha():
         return low
+    low = low.replace("\x02", "").replace("\x03", "")  # the edges of words in ``grams``
     at = [i for i, c in enumerate(low) if c.isalpha()]
     return low[at[0] : at[-1] + 1] if at else ""
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of a word's character n-grams (2 to 4 with its edges) and of the word."""
-    b, out = f"\x02{word}\x03", []
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word number) of the words' character n-grams, 2 to 4 long with a word's edges."""
+    marked = "".join([f"\x02{w}\x03" for w in words])
+    c = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    of = np.cumsum(c == 2) - 1
+    h, buckets, numbers = c * _MIX, [], []
     for n in (2, 3, 4):
-        out += [b[i : i + n] for i in range(len(b) - n + 1)]
-    return [zlib.crc32(g.encode()) & (BUCKETS - 1) for g in [*out, b]]
+        h = (h[:-1] * _MIX) ^ c[n - 1 :]
+        inside = of[: len(h)] == of[n - 1 :]
+        buckets.append(((h[inside] * _MIX) >> np.uint64(64 - BITS)).astype(np.int64))
+        numbers.append(of[: len(h)][inside])
+    return np.concatenate(buckets), np.concatenate(numbers)
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -72,10 +80,11 @@ def counts(docs: DataFrame) -> DataFrame:
             found: dict[str, np.ndarray] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 table = found.setdefault(lang, np.zeros(BUCKETS + len(NAMES), np.int64))
-                for word in map(letters, (text or "").split()):
-                    if word:
-                        np.add.at(table, grams(word), 1)
-                        table[BUCKETS + NAMES.index(script(word[0]))] += 1
+                words = [w for w in map(letters, (text or "").split()) if w]
+                if words:
+                    table[:BUCKETS] += np.bincount(grams(words)[0], minlength=BUCKETS)
+                    for name, n in Counter(script(w[0]) for w in words).items():
+                        table[BUCKETS + NAMES.index(name)] += n
             for lang, table in found.items():
                 at = np.flatnonzero(table)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(table[at])], ["lang", "bucket", "n"])
@@ -88,25 +97,44 @@ class Model:
 
     def __init__(self, langs: list[str], logs: np.ndarray, scripts: dict[str, np.ndarray]):
         self.langs, self.logs, self.scripts = langs, logs, scripts
+        self.none = np.zeros(len(langs), bool)
 
     def start(self) -> None:
-        self.rows = np.zeros((1 << 12, len(self.langs)), np.float32)
-        self.index = _Index(self)
-
-    def score(self, word: str) -> np.ndarray | None:
-        """At most 0, best candidate 0; None where the word says nothing."""
-        if not word or not (allowed := self.scripts.get(script(word[0]), np.zeros(0, bool))).any():
-            return None
-        s = self.logs[grams(word)].mean(axis=0) * min(len(word), 8)
-        s = np.where(allowed, s, -np.inf)
-        return np.maximum(s - s.max(), -FLOOR)
+        """An empty cache: chunk to row of ``rows``, 0 for letters that say nothing, -1 for no letter."""
+        self.rows, self.used, self.index = np.zeros((1 << 12, len(self.langs)), np.float32), 1, {}
+
+    def meet(self, chunks: set[str]) -> None:
+        """Score chunks that are not in the cache: at most 0, best candidate 0."""
+        words = {c: letters(c) for c in chunks if c not in self.index}
+        fresh = sorted({w for w in words.values() if w and w not in self.index})
+        if fresh:
+            allowed = np.array([self.scripts.get(script(w[0]), self.none) for w in fresh])
+            buckets, number = grams(fresh)
+            order = np.argsort(number, kind="stable")
+            starts = np.searchsorted(number[order], np.arange(len(fresh)))
+            logs = self.logs[buckets[order]]
+            size = np.diff(np.append(starts, len(order)))
+            mean = np.add.reduceat(logs, starts, axis=0) / size[:, None]
+            s = np.where(allowed, mean * np.minimum([len(w) for w in fresh], 8)[:, None], -np.inf)
+            says = allowed.any(axis=1)
+            best = np.where(says, s.max(axis=1), 0)
+            while self.used + len(fresh) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[self.used : self.used + len(fresh)] = np.maximum(s - best[:, None], -FLOOR)
+            self.index.update(zip(fresh, np.where(says, np.arange(self.used, self.used + len(fresh)), 0).tolist(), strict=True))
+            self.used += len(fresh)
+        for c, w in words.items():
+            self.index[c] = self.index[w] if w else -1
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
         """(language, share of letters in it, spans as (first word, end word, language))."""
         chunks = (text or "").split()
+        if not self.langs:
+            return "und", 0.0, []
+        self.meet(set(chunks))
         ids = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
         has = ids >= 0
-        if not self.langs or not has.any():
+        if not has.any():
             return "und", 0.0, []
         s = self.rows[ids * has]
         path = viterbi(s, PENALTY)
@@ -117,28 +145,6 @@ class Model:
         return self.langs[best], float(total[best] / total.sum()), [(a, b, self.langs[path[a]]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-class _Index(dict):
-    """Chunk to row of Model.rows: 0 for letters that say nothing, -1 for no letter."""
-
-    def __init__(self, model: Model):
-        self.model, self.used = model, 1
-
-    def __missing__(self, chunk: str) -> int:
-        word = letters(chunk)
-        if word != chunk:
-            at = self[word] if word else -1
-        elif (s := self.model.score(word)) is None:
-            at = 0
-        else:
-            m = self.model
-            if self.used == len(m.rows):
-                m.rows = np.concatenate([m.rows, np.zeros_like(m.rows)])
-            m.rows[self.used] = s
-            at, self.used = self.used, self.used + 1
-        self[chunk] = at
-        return at
-
-
 def viterbi(s: np.ndarray, penalty: float) -> np.ndarray:
     """The best labels of rows s (words by languages) where each switch costs ``penalty``."""
     best = int(s.sum(axis=0).argmax())

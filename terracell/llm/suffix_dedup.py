@@ -4,24 +4,22 @@ A byte goes when a ``length``-byte string that covers it also starts in a docume
 smaller doc_id. Finding those strings over any number of documents:
 
 1. Winnowing: every window of ``length`` bytes has one smallest ``GRAM``-byte gram by hash, its
-   anchor, which depends on the window alone. Texts are sampled at their anchors (one byte in
-   eighteen or so); longer chunks between rarer anchors are hashed as well.
-2. Anchors and chunks that several documents have are found by one sort of their hashes; each
-   knows the smallest document that has it.
-3. A chunk that a smaller document has is gone whole. No first occurrence is lost with it: a
-   window's smallest document never has the window in such a chunk. Of what is left, the
-   windows at shared anchors form short contexts; equal contexts become one with the smallest
-   doc_id, so a passage in a third of all documents is one row.
-4. Contexts that share an anchor share a subtree of the suffix tree, so anchors deal the suffix
+   anchor, which depends on the window alone. An anchor (about one for eighteen bytes) stands
+   for a run of windows, whose bytes are its context; texts are sampled as their anchors' and
+   contexts' hashes.
+2. One sort of these by anchor and context finds the contexts that a smaller document has: all
+   their bytes go. The smallest document of a context keeps it, and needs a closer look only
+   if its anchor has other contexts as well. A passage in a third of all documents is one
+   context there.
+3. Contexts that share an anchor share a subtree of the suffix tree, so anchors deal the suffix
    array into independent parts. Each part sorts its suffixes, takes common prefixes of
    neighbours and scans them with a stack into the tree of intervals. Intervals of at least
    ``length`` bytes whose occurrences differ in the byte to the left are maximal repeats; all
    their occurrences but those of the smallest document are marked. Intervals that do not
    differ there are covered by the one a byte to the left.
-5. Marks return to the contexts' documents, then to the texts.
+4. Marks go to the texts.
 
-Hashes only bring candidates together (64 bits, chunks with their length); suffixes are compared
-byte by byte.
+Equal contexts are known by 96 bits of hash; different ones are compared byte by byte.
 
 Edge cases: null text is empty; texts shorter than ``length`` lose nothing; rows without doc_id
 lose nothing and take nothing from others; repeated rows are one document, and different texts
@@ -40,9 +38,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, release
+from .common import release, stored
 
-LENGTH, GRAM, CHUNK_EVERY, SLAB = 50, 16, 12, 1 << 15
+LENGTH, GRAM, SLAB = 50, 16, 1 << 15
+_XXH3 = xxhash.xxh3_64_intdigest
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOW, _PLACES = np.uint64(0xFFFF), np.arange(1 << 16, dtype=np.uint64)
 _S29, _S32 = np.uint64(29), np.uint64(32)
@@ -91,98 +90,80 @@ def anchors(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return pos, h[pos], firsts
 
 
-def chunks(data: bytes, hashes: np.ndarray, firsts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(edges, hashes): window starts are cut where an anchor's hash is rare; a chunk is its windows' bytes."""
-    last = len(data) - length + 1
-    at = firsts[1:][hashes[1:] % np.uint64(CHUNK_EVERY) == 0]
-    edges = np.concatenate(([0], at, [last]))
-    view = memoryview(data)
-    found = [xxhash.xxh3_64_intdigest(view[a : b + length - 1], seed=b - a) for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
-    return edges, np.array(found, np.uint64)
+def context_hashes(data: bytes, firsts: np.ndarray, length: int) -> list[int]:
+    """The hash of each anchor's context: the bytes of all its windows."""
+    view, ends = memoryview(data), [*firsts[1:].tolist(), len(data) - length + 1]
+    return [_XXH3(view[a : b + length - 1]) for a, b in zip(firsts.tolist(), ends, strict=True)]
 
 
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
-def marks_hashes(docs: DataFrame, length: int) -> DataFrame:
-    """(h, doc): the anchors and chunks of each document, each once."""
+def samples(docs: DataFrame, length: int) -> DataFrame:
+    """(h, ch, doc): the anchors (32 bits) and contexts of each document, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, ids = [], []
+            anchor, context, ids = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 data = text.as_py()
-                pos, h, firsts = anchors(data, length)
-                if len(pos):
-                    _, c = chunks(data, h, firsts, length)
-                    found = np.unique(np.concatenate((h, c)))
-                    hashes.append(found)
-                    ids.append(np.full(len(found), doc, np.int64))
-            if hashes:
-                yield pa.RecordBatch.from_arrays([signed(np.concatenate(hashes)), pa.array(np.concatenate(ids))], ["h", "doc"])
+                _, h, firsts = anchors(data, length)
+                if len(h):
+                    ch, once = np.unique(np.array(context_hashes(data, firsts, length), np.uint64), return_index=True)
+                    context.append(ch)
+                    anchor.append(h[once])
+                    ids.append(np.full(len(ch), doc, np.int64))
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(anchor) >> _S32).astype(np.uint32).view(np.int32)), pa.array(np.concatenate(context).view(np.int64)), pa.array(np.concatenate(ids))], ["h", "ch", "doc"])
 
-    return docs.mapInArrow(run, "h long, doc long")
+    return docs.mapInArrow(run, "h int, ch long, doc long")
 
 
-def shared(hashes: DataFrame) -> DataFrame:
-    """(doc, x): of each document the hashes that others have too, as array<struct<h, first>>.
+def verdicts(found: DataFrame) -> DataFrame:
+    """(doc, x): the contexts, as array<struct<ch, gone>>, that are gone or need a closer look.
 
-    Windows look one row ahead and keep the first row, so a hash of any frequency streams by.
+    Windows keep the first row, or look one row back and ahead, so an anchor of any frequency
+    streams by.
     """
-    order = Window.partitionBy("h").orderBy("doc")
-    first = F.first("doc").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    seen = hashes.select("h", "doc", first.alias("first"), F.lead("doc").over(order).alias("next"))
-    return seen.where("first < doc or next is not null").groupBy("doc").agg(F.collect_list(F.struct("h", "first")).alias("x"))
+    earlier = Window.partitionBy("h", "ch").orderBy("doc").rowsBetween(Window.unboundedPreceding, 0)
+    rows = found.repartition("h").select("h", "ch", "doc", (F.first("doc").over(earlier) < F.col("doc")).alias("gone"))
+    # both windows keep the one shuffle's partitioning
+    by_class = Window.partitionBy("h", "gone").orderBy("ch")
+    near = rows.withColumn("more", F.lag("ch").over(by_class).isNotNull() | F.lead("ch").over(by_class).isNotNull())
+    return near.where("gone or more").groupBy("doc").agg(F.collect_list(F.struct("ch", "gone")).alias("x"))
 
 
-CONTEXT = "doc long, th long, h long, ch long, at int, ctx binary, begin long, stop long"
+CONTEXT = "doc long, th long, h long, ctx binary, begin long, stop long"
 
 
 def contexts(docs: DataFrame, info: DataFrame, length: int) -> DataFrame:
-    """Rows with ctx: the windows at a shared anchor, from ``begin`` to ``stop`` in the document.
-
-    Rows without: bytes that are gone with a chunk.
-    """
-
-    def one(doc: int, th: int, data: bytes, hashes: np.ndarray, first: np.ndarray, out: list) -> None:
-        pos, h, firsts = anchors(data, length)
-        if not len(pos):
-            return
-        known = set(hashes.tolist())
-        earlier = set(hashes[first < doc].tolist())
-        edges, c = chunks(data, h, firsts, length)
-        gone: list[list[int]] = []
-        for a, b, ch in zip(edges.tolist(), edges[1:].tolist(), c.view(np.int64).tolist(), strict=False):
-            if ch in earlier:
-                if gone and gone[-1][1] == a:
-                    gone[-1][1] = b
-                else:
-                    gone.append([a, b])
-        out += [(doc, th, None, None, None, None, a, b + length - 1) for a, b in gone]
-        g, last = 0, len(data) - length + 1
-        for p, a, b, mark in zip(pos.tolist(), firsts.tolist(), [*firsts[1:].tolist(), last], h.view(np.int64).tolist(), strict=True):
-            if mark not in known:
-                continue
-            while g < len(gone) and gone[g][1] <= a:
-                g += 1
-            if g < len(gone) and gone[g][0] <= a and b <= gone[g][1]:
-                continue  # all its windows went with a chunk
-            ctx = data[a : b + length - 1]
-            out.append((doc, th, mark, xxhash.xxh3_64_intdigest(ctx, seed=p - a) - (1 << 63), p - a, ctx, a, b + length - 1))
+    """Rows with ctx: contexts for a closer look, from ``begin`` to ``stop``. Without: bytes that are gone."""
+
+    def one(doc: int, th: int, data: bytes, ch: np.ndarray, gone: np.ndarray, out: list) -> None:
+        _, h, firsts = anchors(data, length)
+        lost, looked = set(ch[gone].tolist()), set(ch[~gone].tolist())
+        ends = [*firsts[1:].tolist(), len(data) - length + 1]
+        begin = end = -1
+        for a, b, mark, c in zip(firsts.tolist(), ends, h.view(np.int64).tolist(), np.array(context_hashes(data, firsts, length), np.uint64).view(np.int64).tolist(), strict=True):
+            if c in lost:
+                if a != end:
+                    if end >= 0:
+                        out.append((doc, th, None, None, begin, end + length - 1))
+                    begin = a
+                end = b
+            elif c in looked:
+                out.append((doc, th, mark, data[a : b + length - 1], a, b + length - 1))
+        if end >= 0:
+            out.append((doc, th, None, None, begin, end + length - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch, out = whole.slice(start, 256), []
                 x = batch.column(3)
-                at, flat = x.offsets.to_numpy(), x.values
-                hashes, first = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+                at, ch, gone = x.offsets.to_numpy(), x.values.field(0).to_numpy(), x.values.field(1).to_numpy(zero_copy_only=False)
                 for k, (doc, th, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True)):
-                    one(doc, th, text.as_py(), hashes[at[k] : at[k + 1]], first[at[k] : at[k + 1]], out)
+                    one(doc, th, text.as_py(), ch[at[k] : at[k + 1]], gone[at[k] : at[k + 1]], out)
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "th", "h", "ch", "at", "ctx", "begin", "stop"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "th", "h", "ctx", "begin", "stop"])
 
     return docs.join(info, "doc").select("doc", "th", "text", "x").mapInArrow(run, CONTEXT)
 
@@ -264,35 +245,26 @@ def split_group(ctx: list[bytes], docs: list[int], length: int, most: int) -> It
         return
     parts = -(-sum(len(x) - length + 1 for x in ctx) // (16 * most))
     for part in range(parts):
-        cuts = [(i, o) for i, x in enumerate(ctx) for o in range(len(x) - length + 1) if xxhash.xxh3_64_intdigest(x[o : o + length]) % parts == part]
+        cuts = [(i, o) for i, x in enumerate(ctx) for o in range(len(x) - length + 1) if _XXH3(x[o : o + length]) % parts == part]
         if cuts:
             for k, a, b in repeats([ctx[i][o : o + length] for i, o in cuts], np.array([docs[i] for i, _ in cuts], np.int64), length):
                 i, o = cuts[k]
                 yield i, o + a, o + b
 
 
-def class_spans(classes: DataFrame, length: int, most: int = 4096) -> DataFrame:
-    """(h, ch, owner, spans): what every document with that context loses in it, for all classes."""
+def close_look(found: DataFrame, length: int, most: int = 4096) -> DataFrame:
+    """(doc, th, a, b): what contexts lose to others with their anchor."""
+
+    def solved(rows: list[tuple]) -> pa.RecordBatch:
+        out = [(rows[k][0], rows[k][1], rows[k][4] + a, rows[k][4] + b) for k, a, b in split_group([r[3] for r in rows], [r[0] for r in rows], length, 2 * most)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 4)], ["doc", "th", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # whole groups of contexts by anchor, solved together
+        held: list[tuple] = []  # whole groups by anchor, solved together
         group: list[tuple] = []
-
-        def solved(rows: list[tuple]) -> pa.RecordBatch:
-            spans: list[list] = [[] for _ in rows]
-            count: dict[int, int] = {}
-            for r in rows:
-                count[r[0]] = count.get(r[0], 0) + 1
-            some = [i for i, r in enumerate(rows) if count[r[0]] > 1]
-            if some:
-                for k, a, b in split_group([rows[i][3] for i in some], [rows[i][4] for i in some], length, 2 * most):
-                    spans[some[k]].append({"a": a, "b": b})
-            kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64()), pa.array(spans, kind)], ["h", "ch", "owner", "spans"])
-
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and group[0][0] != r[0]:
+                if group and group[0][2] != r[2]:
                     if held and len(held) + len(group) > most:
                         yield solved(held)
                         held = []
@@ -305,27 +277,18 @@ def class_spans(classes: DataFrame, length: int, most: int = 4096) -> DataFrame:
         if held or group:
             yield solved(held + group)
 
-    ordered = classes.select("h", "ch", "at", "ctx", "doc").repartition("h").sortWithinPartitions("h")
-    return ordered.mapInArrow(run, "h long, ch long, owner long, spans array<struct<a: long, b: long>>")
+    ordered = found.where("ctx is not null").select("doc", "th", "h", "ctx", "begin").repartition("h").sortWithinPartitions("h")
+    return ordered.mapInArrow(run, "doc long, th long, a long, b long")
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, th, spans): the bytes to remove from each text of (doc, th, text), unmerged, by begin."""
     spark = docs.sparkSession
     known = docs.where("doc is not null")
-    found = cut(contexts(known, shared(marks_hashes(known.select("doc", "text"), length)), length))
+    found = stored(contexts(known, verdicts(samples(known.select("doc", "text"), length)), length))
     release(spark)
-    at_anchor = found.where("ctx is not null")
-    classes = at_anchor.groupBy("h", "ch").agg(F.min("at").alias("at"), F.min("ctx").alias("ctx"), F.min("doc").alias("doc"))
-    owned = class_spans(classes, length)
-    lost = (
-        at_anchor.select("doc", "th", "h", "ch", "begin", "stop")
-        .join(owned, ["h", "ch"])
-        .select("doc", "th", F.explode(F.expr("if(doc > owner, array(named_struct('a', begin, 'b', stop)), transform(spans, s -> named_struct('a', begin + s.a, 'b', begin + s.b)))")).alias("s"))
-        .select("doc", "th", "s.a", "s.b")
-    )
-    lost = lost.unionByName(found.where("ctx is null").select("doc", "th", F.col("begin").alias("a"), F.col("stop").alias("b")))
-    return lost.groupBy("doc", "th").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    lost = close_look(found, length).unionByName(found.where("ctx is null").select("doc", "th", F.col("begin").alias("a"), F.col("stop").alias("b")))
+    return stored(lost.groupBy("doc", "th").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
