@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_BLOCK, LEAST_BLOCK, MOST_BLOCK, QUERY_TILE, TILE = 4096, 2048, 65_536, 256, 2048
+QUERY_BLOCK, LEAST_BLOCK, MOST_BLOCK, QUERY_TILE, TILE = 4096, 8192, 65_536, 256, 2048
 FOUND = "query_id long, vec_id long, score double"
 
 
