@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_BLOCK, LEAST_BLOCK, MOST_BLOCK, QUERY_TILE, TILE = 4096, 8192, 65_536, 256, 2048
+QUERY_BLOCK, BLOCK, QUERY_TILE, TILE = 4096, 65_536, 256, 2048  # rows; a task holds one block of each kind
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -96,11 +96,9 @@ def nearest(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray,
 
 def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """For each query row of (vec_id, embedding): query_id, rank (from 1), vec_id, score."""
-    spark = rows.sparkSession
     rows = rows.select("vec_id", "embedding").where(usable("embedding") & F.col("vec_id").isNotNull())
     n, n_queries = rows.agg(F.count("*"), F.count_if(is_query)).first()
-    size = min(MOST_BLOCK, max(LEAST_BLOCK, n // (4 * spark.sparkContext.defaultParallelism)))
-    i, j = max(1, -(-n // size)), max(1, -(-n_queries // QUERY_BLOCK))
+    i, j = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
     dealt = lambda m: F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
