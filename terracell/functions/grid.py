@@ -194,3 +194,156 @@ def cell_of(lat: Column, lon: Column, res: int) -> Column:
         return out
 
     return run(lat.cast("double"), lon.cast("double"))
+
+
+# --- from cells to positions ---------------------------------------------------------------
+_STEPS = np.array([(0, 0), (-1, -1), (0, 1), (-1, 0), (1, 0), (0, -1), (1, 1)])  # along i and j, by digit
+_CORNERS = np.array([(1.0, 0.0), (-0.5, np.sqrt(3) / 2), (-0.5, -np.sqrt(3) / 2)])
+
+
+@cache
+def _faces() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Corners of each face, the corner across each edge, and for each base cell its faces, planes (i, j) and turns there; -1 where there is none."""
+    g = _grid()
+    corners = np.array([[g.place(f, *(2 * c)) for c in _CORNERS] for f in range(len(FACES))])
+    across = np.zeros_like(corners)
+    for f in range(len(FACES)):
+        for c in range(3):
+            shared = [corners[f, k] for k in range(3) if k != c]
+            for other in range(len(FACES)):
+                far = [p for p in corners[other] if not any(np.allclose(p, s, atol=1e-9) for s in shared)]
+                if other != f and len(far) == 1:
+                    across[f, c] = far[0]
+    homes = [(int(f), tuple(map(int, ijk))) for f, ijk in (x.split(":") for x in HOMES.split())]
+    face, plane, turns = np.full((len(homes), 5), -1), np.zeros((len(homes), 5, 2), np.int64), np.zeros((len(homes), 5), np.int64)
+    for cell, (home, ijk) in enumerate(homes):
+        at = [(home, ijk)] if not g.pentagon[cell] else [(f, v) for f in range(len(FACES)) for v in ((2, 0, 0), (0, 2, 0), (0, 0, 2)) if g.base[f, v[0] * 9 + v[1] * 3 + v[2]] == cell]
+        for k, (f, v) in enumerate(at):
+            face[cell, k], plane[cell, k], turns[cell, k] = f, (v[0] - v[2], v[1] - v[2]), g.turns[f, v[0] * 9 + v[1] * 3 + v[2]]
+    return corners, across, face, plane, turns
+
+
+def _inward(plane: np.ndarray) -> np.ndarray:
+    """The digit that leads from a face's corner into it."""
+    return _DIGIT[1 - np.sign(plane[..., 0]), 1 - np.sign(plane[..., 1])]
+
+
+def _lattice(cells: np.ndarray, res: int, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Face, i and j there, and the leading digit in the face's frame, of each cell as seen from its ``choice``-th face."""
+    _, _, face, plane, turns = _faces()
+    base = (cells >> 45) & 127
+    digits = np.stack([(cells >> (45 - 3 * level)) & 7 for level in range(1, res + 1)]) if res else np.zeros((0, len(cells)), np.int64)
+    five, back = _grid().pentagon[base], turns[base, choice]
+    for n in range(5):
+        on = five & (back > n)
+        digits = np.where(on, _RIGHT[digits], digits)
+        digits = np.where(on & (_lead(digits) == _MISSING), _RIGHT[digits], digits)
+    i, j = plane[base, choice].T
+    for level in range(1, res + 1):
+        m = ((3, -1), (1, 2)) if level % 2 else ((2, 1), (-1, 3))
+        step = _STEPS[digits[level - 1]]
+        i, j = m[1][1] * i - m[0][1] * j + step[:, 0], m[0][0] * j - m[1][0] * i + step[:, 1]
+    return face[base, choice], i, j, _lead(digits)
+
+
+def _shares(i: np.ndarray, j: np.ndarray, res: int) -> np.ndarray:
+    """Lattice points of a face as weights of its three corners."""
+    z = (i - j / 2 + 1j * (j * np.sqrt(3) / 2)) / np.sqrt(7.0) ** res * np.exp(1j * (TURN if res % 2 else 0))
+    return 1 / 3 + (z.real[:, None] * _CORNERS[:, 0] + z.imag[:, None] * _CORNERS[:, 1]) / 3
+
+
+def _points(face: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Points of the sphere; what lies beyond an edge unfolds onto the face across it."""
+    corners, across, *_ = _faces()
+    out = share.argmin(axis=1)
+    over = share[np.arange(len(out)), out]
+    vertices, weight = corners[face].copy(), share.copy()
+    rows = np.flatnonzero(over < 0)
+    weight[rows] += over[rows, None]
+    weight[rows, out[rows]] = -over[rows]
+    vertices[rows, out[rows]] = across[face[rows], out[rows]]
+    p = (weight[:, :, None] * vertices).sum(axis=1)
+    return p / np.linalg.norm(p, axis=1, keepdims=True)
+
+
+def _degrees(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.degrees(np.arctan2(p[:, 2], np.hypot(p[:, 0], p[:, 1]))), np.degrees(np.arctan2(p[:, 1], p[:, 0]))
+
+
+def _seen_from(cells: np.ndarray, res: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Face, i, j of each cell on a face where its own part of the base cell lies."""
+    _, _, _, plane, _ = _faces()
+    base = (cells >> 45) & 127
+    chosen = np.zeros(len(cells), np.int64)
+    face, i, j, lead = _lattice(cells, res, chosen)
+    for k in range(1, 5):
+        rows = np.flatnonzero(_grid().pentagon[base] & (lead != 0) & (lead != _inward(plane[base, chosen])))
+        chosen[rows] = k
+        face[rows], i[rows], j[rows], lead[rows] = _lattice(cells[rows], res, chosen[rows])
+    return face, i, j
+
+
+def centres(cells: np.ndarray, res: int) -> tuple[np.ndarray, np.ndarray]:
+    """Latitudes and longitudes, in degrees, of the centres of cells of one resolution."""
+    face, i, j = _seen_from(cells, res)
+    return _degrees(_points(face, _shares(i, j, res)))
+
+
+def neighbours(cells: np.ndarray, res: int) -> np.ndarray:
+    """(len(cells), 6) cells that share an edge; -1 in a pentagon's sixth place."""
+    face, i, j = _seen_from(cells, res)
+    out = np.stack([indexes(*_degrees(_points(face, _shares(i + a, j + b, res))), res) for a, b in _STEPS[1:]], axis=1)
+    base, below = (cells >> 45) & 127, (1 << 45) - 1
+    centre = ((1 << 45) - 1) >> (3 * res)
+    for row in np.flatnonzero(_grid().pentagon[base] & ((cells & below) == centre)):
+        around = set()
+        for k in range(5):
+            f, a, b, _ = _lattice(cells[[row]], res, np.array([k]))
+            share = _shares(a + _STEPS[1:, 0], b + _STEPS[1:, 1], res)
+            own = share.min(axis=1) >= -1e-9
+            around |= set(indexes(*_degrees(_points(np.repeat(f, own.sum()), share[own])), res).tolist())
+        out[row] = [*sorted(around), *[-1] * 6][:6]
+    return out
+
+
+def disks(cells: np.ndarray, k: int, res: int) -> list[list[list[int]]]:
+    """For each of ``cells``, the cells at 0, 1, ... ``k`` steps from it, each ring in order."""
+    rings = [pd.DataFrame({"row": np.arange(len(cells)), "cell": cells})]
+    for _ in range(k):
+        last = rings[-1]
+        new = pd.DataFrame({"row": np.repeat(last["row"].to_numpy(), 6), "cell": neighbours(last["cell"].to_numpy(), res).ravel()})
+        known = pd.concat([new[new["cell"] >= 0].drop_duplicates(), *rings[-2:], *rings[-2:]])  # a step leads no further back than one ring
+        rings.append(known.drop_duplicates(keep=False).sort_values(["row", "cell"]))
+    found = [r.groupby("row")["cell"].agg(list).reindex(range(len(cells))) for r in rings]
+    return [[x if isinstance(x, list) else [] for x in row] for row in zip(*found, strict=True)]
+
+
+def resolution(cell: Column) -> Column:
+    return F.shiftrightunsigned(cell, 52).bitwiseAND(15).cast("int")
+
+
+def centre_of(cell: Column, res: int) -> Column:
+    """struct<lat, lon> in degrees of the centre of a cell of resolution ``res``; null for null."""
+
+    @F.pandas_udf("lat double, lon double")
+    def run(cells: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame(np.nan, index=cells.index, columns=["lat", "lon"])
+        ok = cells.notna()
+        if ok.any():
+            out.loc[ok, "lat"], out.loc[ok, "lon"] = centres(cells[ok].to_numpy(np.int64), res)
+        return out
+
+    return F.when(cell.isNotNull(), run(F.coalesce(cell, F.lit(0x0800000000000000 | res << 52 | (1 << (45 - 3 * res)) - 1))))
+
+
+def rings_of(cell: Column, k: int, res: int) -> Column:
+    """array<array<long>>: the cells at 0 to ``k`` steps from a cell of resolution ``res``; null for null."""
+
+    @F.pandas_udf("array<array<long>>")
+    def run(cells: pd.Series) -> pd.Series:
+        out, ok = pd.Series([None] * len(cells), index=cells.index, dtype=object), cells.notna().to_numpy()
+        if ok.any():
+            out[ok] = pd.Series(disks(cells[ok].to_numpy(np.int64), k, res), index=cells.index[ok], dtype=object)
+        return out
+
+    return run(cell)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import geometry, keys, tags
+from .functions import geometry, grid, keys, tags
 from .operators import tables
 from .plans import partitions
 from .sources import fixtures
@@ -102,6 +102,36 @@ def h9_parent_and_children(spark: SparkSession, d: str) -> DataFrame:
     return _nodes(spark, d).select("id", keys.parent(F.col("h33")).alias("parent"), first.alias("first_child"), last.alias("last_child"))
 
 
+@query()
+def h4_cells_of_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of the cells that hold each node's position (the other queries' cells are synthetic)."""
+    at = fixtures.raw_nodes(spark, d).select("id", *[grid.cell_of(F.col("lat"), F.col("lon"), r).alias(f"c{r}") for r in (3, 8)])
+    return at.select("id", keys.coarse(F.col("c3")).alias("h33"), keys.fine(F.col("c8")).alias("h38"))
+
+
+@query()
+def h11_keys_between(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of resolutions 4 to 7 in the fine key's bits, without their resolution."""
+    at = fixtures.raw_nodes(spark, d)
+    return at.select("id", *[keys.fine(grid.cell_of(F.col("lat"), F.col("lon"), r)).alias(f"h3{r}") for r in (4, 5, 6, 7)])
+
+
+@query()
+def h5_centres_of_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Centres of the distinct coarse cells of the nodes' positions."""
+    cells = fixtures.raw_nodes(spark, d).select(grid.cell_of(F.col("lat"), F.col("lon"), 3).alias("cell")).distinct()
+    return cells.select("cell", grid.centre_of(F.col("cell"), 3).alias("c")).select(keys.coarse(F.col("cell")).alias("h33"), "c.*")
+
+
+@query()
+def h8_a17_rings(spark: SparkSession, d: str) -> DataFrame:
+    """The fine keys at 1 to 5 steps from each distinct (h33, h38) of the nodes' positions, an array a ring."""
+    cells = fixtures.raw_nodes(spark, d).select(*[grid.cell_of(F.col("lat"), F.col("lon"), r).alias(f"c{r}") for r in (3, 8)]).distinct()
+    rings = cells.select("c3", "c8", grid.rings_of(F.col("c8"), 5, 8).alias("rings"))
+    ring = lambda k: F.array_sort(F.transform(F.col("rings")[k], keys.fine)).alias(f"ring{k}")
+    return rings.select(keys.coarse(F.col("c3")).alias("h33"), keys.fine(F.col("c8")).alias("h38"), *[ring(k) for k in range(1, 6)])
+
+
 @query(f"WITH {WAYS} SELECT id, h33, n_cells FROM ways")
 def h10_way_cell(spark: SparkSession, d: str) -> DataFrame:
     return _ways(spark, d).select("id", "h33", F.size(F.array_distinct(F.col("points.h33"))).cast("long").alias("n_cells"))
