@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 BITS, PER_LANGUAGE, PENALTY, FLOOR = 16, 1500, 12.0, 3.0
 BUCKETS, _MIX = 1 << BITS, np.uint64(0x9E3779B97F4A7C15)
-_MOST_CACHED = 1_000_000
+_MOST_CACHED = 300_000
 
 # First code points of Unicode ranges and their scripts ("" stands for none of these).
 SCRIPTS = [

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import cut, running
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_MOST_CACHED = 700_000
+_MOST_CACHED = 300_000
 _CONTROLS = re.compile("[\x1c-\x1f]").search
 _encoders: dict[str, Encoder] = {}
 
