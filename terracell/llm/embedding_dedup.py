@@ -3,8 +3,9 @@
 Equal vectors become one node with a count. A first neighbour graph comes from sorting nodes by
 random hyperplane signs, several times, and comparing within runs of the sorted order, so that
 dense spots fill several runs instead of one bucket. Each round then compares the neighbours of
-a node with each other (lists and reverse lists) and keeps the best. Lists that are saturated,
-full of links, are enlarged to all there is: their components are compared block by block. The
+a node with each other (lists and reverse lists) and keeps the best. A node that has as many
+links as one comparison gives may lack some: it is compared with every node, block by block, and what
+that finds counts for both ends and joins components, so the lists' cap loses no link. The
 recall of links is audited on a bounded sample of nodes against all nodes; while it is below
 ``least_recall`` another round with new hyperplanes runs. Edges at or above the threshold give
 counts and components.
@@ -135,31 +136,73 @@ def descend(v: DataFrame, graph: DataFrame) -> DataFrame:
     return seat.join(v.select("id", "v"), "id").select("w", "id", "v").repartition("w").sortWithinPartitions("w").mapInArrow(compare, EDGE)
 
 
-def block_counts(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def forest(hit: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, rows, columns) of each connected part of a matrix of hits; each row and column is visited once."""
+    turned, row_left, column_left = np.ascontiguousarray(hit.T), hit.any(axis=1), hit.any(axis=0)
+    for first in np.flatnonzero(row_left):
+        if not row_left[first]:
+            continue
+        row_left[first] = False
+        rows, columns, edge = [np.array([first])], [], np.array([first])
+        while len(edge):
+            there = np.flatnonzero(hit[edge].any(axis=0) & column_left)
+            column_left[there] = False
+            columns.append(there)
+            edge = np.flatnonzero(turned[there].any(axis=0) & row_left) if len(there) else there
+            row_left[edge] = False
+            rows.append(edge)
+        yield int(first), np.concatenate(rows), np.concatenate(columns)
+
+
+def block_links(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Links of a block of asked nodes with a block of all nodes: counts, and stars that join what the links join."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        n = np.zeros(left.num_rows, np.int64)
+        u, v, n = [], [], []
         if left.num_rows and right.num_rows:
-            ids, other, weight = left.column("id").to_numpy(), right.column("id2").to_numpy(), right.column("n").to_numpy()
+            ids, other = left.column("id").to_numpy(), right.column("id2").to_numpy()
+            mine, weight, known = left.column("n").to_numpy(), right.column("n2").to_numpy(), right.column("asked2").to_numpy(zero_copy_only=False)
             x, y = unit(left.column("v").to_pylist()), unit(right.column("v2").to_pylist())
+            hit = np.empty((len(ids), len(other)), bool)
             for at in range(0, len(ids), 512):
-                hit = (x[at : at + 512] @ y.T >= threshold) & (ids[at : at + 512, None] != other)
-                n[at : at + 512] = hit @ weight
-        return pa.table({"id": left.column("id"), "links": pa.array(n)})
+                hit[at : at + 512] = (x[at : at + 512] @ y.T >= threshold) & (ids[at : at + 512, None] != other)
+            # a null v marks a count; nodes that do not ask themselves are counted from this side
+            u, n = [ids, other[~known]], [hit @ weight, (mine @ hit)[~known]]
+            v = [np.full(len(ids) + len(u[1]), -1)]
+            for first, rows, columns in forest(hit):
+                ends = np.concatenate((ids[rows[1:]], other[columns]))
+                u.append(np.full(len(ends), ids[first]))
+                v.append(ends)
+                n.append(np.zeros(len(ends), np.int64))
+        u, v, n = (np.concatenate([np.zeros(0, np.int64), *c]).astype(np.int64) for c in (u, v, n))
+        count = np.arange(len(u)) < (left.num_rows + int((~known).sum()) if len(u) else 0)
+        keep = ~count | (n > 0)
+        return pa.table({"u": pa.array(u[keep]), "v": pa.array(v[keep], mask=count[keep]), "links": pa.array(n[keep])})
 
     return run
 
 
-def dense_counts(v: DataFrame, of: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
-    """(id, links) for all nodes of components with a saturated list, compared in full."""
-    full = graph.where(F.col("cos") >= threshold).groupBy("u").count().where(F.col("count") >= LIST).select(F.col("u").alias("node"))
-    dense = of.join(full, "node").select("component").distinct()
-    of = of.join(dense, "component")
-    sizes = of.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    inside = of.join(sizes, "component").join(v, F.col("node") == F.col("id")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = inside.select("component", F.col("own").alias("i"), every.alias("j"), "id", "v").groupBy("component", "i", "j")
-    right = inside.select(F.col("component").alias("c2"), every.alias("i2"), F.col("own").alias("j2"), F.col("id").alias("id2"), "n", F.col("v").alias("v2")).groupBy("c2", "i2", "j2")
-    return left.cogroup(right).applyInArrow(block_counts(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+def saturated(graph: DataFrame, threshold: float) -> DataFrame:
+    """(node): nodes with EMIT links or more, the most that one comparison gives; their lists may lack some."""
+    return graph.where(F.col("cos") >= threshold).groupBy("u").count().where(F.col("count") >= min(EMIT, LIST)).select(F.col("u").alias("node"))
+
+
+def full_links(v: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """(u, v, links) of the asked nodes compared with every node of their dimension, block by block.
+
+    Rows with null v add to u's count of links with asked nodes (of an asked u: with all nodes);
+    the others are stars within connected parts, never more than the rows of a block.
+    """
+    every = v.join(asked.select(F.col("node").alias("id"), F.lit(True).alias("asked")), "id", "left").select("id", "n", "dim", "v", F.coalesce("asked", F.lit(False)).alias("asked"))
+    every = cut(every)
+    blocks = lambda c: F.ceil(F.count_if(c) / F.lit(BLOCK)).cast("int")
+    sizes = every.groupBy("dim").agg(blocks(F.col("asked")).alias("ask_blocks"), blocks(F.lit(True)).alias("blocks")).where("ask_blocks > 0")
+    dealt = lambda m: F.pmod(F.xxhash64("id"), F.col(m).cast("long")).cast("int")
+    each = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+    rows = every.join(F.broadcast(sizes), "dim")
+    left = rows.where("asked").select("dim", dealt("ask_blocks").alias("i"), each("blocks").alias("j"), "id", "n", "v").groupBy("dim", "i", "j")
+    right = rows.select(F.col("dim").alias("dim2"), each("ask_blocks").alias("i2"), dealt("blocks").alias("j2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("v").alias("v2"), F.col("asked").alias("asked2")).groupBy("dim2", "i2", "j2")
+    return left.cogroup(right).applyInArrow(block_links(threshold), "u long, v long, links long")
 
 
 def audit(v: DataFrame, linked: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
@@ -198,9 +241,13 @@ def dedup(rows: DataFrame, threshold: float = 0.9, rounds: int = 2, least_recall
             continue
         links = graph.where(F.col("cos") >= threshold).select("u", "v")
         links = cut(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-        of = cut(components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        sparse = links.join(v.select(F.col("id").alias("v"), "n"), "v").groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("links"))
-        linked = cut(sparse.unionByName(dense_counts(v, of, graph, threshold)).groupBy("id").agg(F.max("links").alias("links")))
+        asked = cut(saturated(graph, threshold))
+        full = cut(full_links(v, asked, threshold))
+        # links of two nodes that are not asked stand in the lists; all others were compared
+        few = links.join(asked, F.col("u") == F.col("node"), "left_anti").join(asked, F.col("v") == F.col("node"), "left_anti")
+        sparse = few.join(v.select(F.col("id").alias("v"), "n"), "v").select(F.col("u").alias("id"), F.col("n").alias("links"))
+        linked = cut(sparse.unionByName(full.where("v is null").select(F.col("u").alias("id"), "links")).groupBy("id").agg(F.sum("links").alias("links")))
+        of = cut(components(few.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(full.where("v is not null").select(F.col("u").alias("a"), F.col("v").alias("b")))))
         found, there = audit(v, linked, threshold)
         if found >= least_recall * there:
             break

@@ -229,6 +229,27 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.dedup(frame.limit(0)).count() == 0
 
 
+def test_embedding_dedup_links_dense_clusters(spark):
+    """Each side has more near vectors than a list holds, so no list has a link over the gap."""
+    rng = np.random.default_rng(12)
+    centres = np.eye(24)[[0, 0]]
+    centres[1] = 0.93 * np.eye(24)[0] + np.sqrt(1 - 0.93**2) * np.eye(24)[1]
+    x = (np.repeat(centres, 150, axis=0) + 0.005 * rng.standard_normal((300, 24))).astype(np.float32)
+    z = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    hit = (z @ z.T >= 0.9) & ~np.eye(300, dtype=bool)
+    assert hit[:150, 150:].mean() > 0.5
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in embedding_dedup.dedup(rows).collect()}
+    assert [got[i].n_links for i in range(300)] == hit.sum(axis=1).tolist()
+    assert {r.component_id for r in got.values()} == {0} and [i for i in got if got[i].kept] == [0]
+
+
+def test_forest_finds_connected_parts():
+    hit = np.zeros((5, 5), bool)
+    hit[[0, 1, 1, 2, 3], [1, 1, 3, 3, 0]] = True
+    assert [(f, sorted(r.tolist()), sorted(c.tolist())) for f, r, c in embedding_dedup.forest(hit)] == [(0, [0, 1, 2], [1, 3]), (3, [3], [0])]
+
+
 def test_html(spark):
     page = "<body><nav><ul><li><a href=/x>Home</a></ul></nav><article><h1>T &amp; t</h1><p>Some \n text<p><b>more&nbsp;text<br><p>end</article><div class='comments'><p>I say</p></div><form>f</form><script>var a='<p>x</p>'</script><footer>&copy; x</footer>"
     rows = [(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", "<p"), (5, "u", "<!-- open"), (6, "u", "<article>" + "<p>word</p>" * 3000)]
