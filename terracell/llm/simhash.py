@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import components, cut, release, stored
 
 SEGMENTS, WIDTH, SLICE = 16, 4, 1 << 16
 
@@ -101,12 +101,15 @@ def groups(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
 BINS, ROWS = 128, 4
 
 
-def sketch(text: bytes, words: int, seed: int) -> bytes:
+def shingle_set(text: bytes, words: int, seed: int) -> np.ndarray:
+    """The distinct shingle hashes, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *(h.copy() for h in shingle_hashes(text, words, seed))]))
+
+
+def sketch(h: np.ndarray) -> bytes:
     """The smallest shingle hash of each of 128 bins, 32 bits each; an empty bin borrows the next one's."""
-    found = [h.copy() for h in shingle_hashes(text, words, seed)]
     out = np.zeros(BINS, np.uint32)
-    if found:
-        h = np.sort(np.concatenate(found))
+    if len(h):
         bins = h >> np.uint64(57)
         first = np.concatenate(([True], bins[1:] != bins[:-1]))
         full, low = bins[first].astype(np.int64), (h[first] >> np.uint64(25)).astype(np.uint32)
@@ -115,36 +118,77 @@ def sketch(text: bytes, words: int, seed: int) -> bytes:
     return out.tobytes()
 
 
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float, seed: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose whole shingle sets have Jaccard similarity of at least ``similarity``."""
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[int, tuple[int, np.ndarray]] = {}
+
+        def of(side: int, key: int, text: pa.Scalar) -> np.ndarray:
+            if last.get(side, (None,))[0] != key:
+                last[side] = (key, shingle_set(text.as_py(), words, seed))
+            return last[side][1]
+
+        for batch in batches:
+            ok = []
+            columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary()))
+            for i, (a, b, s, t) in enumerate(zip(*columns, strict=True)):
+                x, y = of(0, a, s), of(1, b, t)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= similarity * (len(x) + len(y) - both) - 1e-9:
+                    ok.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(ok, pa.int64())) for k in (0, 1)], ["a", "b"])
+
+    size = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"))
+    # sets whose sizes differ too much cannot be that similar
+    near = pairs.join(size("a"), "a").join(size("b"), "b").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9)
+    near = cut(near.select("a", "b"))
+    wanted = nodes.join(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "one.doc_id", "one.h")
+    has = stored(texts.join(wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text"))
+    whole = near.join(has.select(F.col("node").alias("a"), F.col("text").alias("s")), "a").join(has.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
+    return cut(whole.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long"))
+
+
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
     """(doc_id, component_id) by shingle similarity (Jaccard) of at least ``similarity``.
 
     Pairs that similar differ in up to sixteen fingerprint bits, out of the grid join's reach
     (of near copies with similarity 0.8 or more, 6 % lie within 2 bits). So the shingles that
-    fingerprints would sum are sampled by minimum instead: documents with equal quadruples of
-    minima meet, each with a hub that differs from band to band, and the share of all 128
-    minima in common decides. Equal sketches are one node. Rows without doc_id are left out.
+    fingerprints would sum are sampled by minimum instead, for candidates only: documents with
+    equal quadruples of minima meet, and the whole shingle sets decide. First each meets a hub
+    that differs from band to band, which joins large groups of copies by few pairs; then every
+    two that meet and are not joined yet are compared. Equal sets are one node. Rows without
+    doc_id are left out.
     """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sketch(t.as_py() or b"", words, seed) for t in b.column(1).cast(pa.binary())], pa.binary())], ["doc_id", "sketch"])
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, BINS) for c in (b.column(2), b.column(3)))
-            ok = np.flatnonzero((x == y).sum(axis=1) >= similarity * BINS)
-            yield pa.RecordBatch.from_arrays([b.column(k).take(pa.array(ok)) for k in (0, 1)], ["a", "b"])
-
-    drawn = cut(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(draw, "doc_id long, sketch binary"))
-    nodes = cut(drawn.groupBy("sketch").agg(F.min("doc_id").alias("id")))
+            sets = [shingle_set(t.as_py() or b"", words, seed) for t in b.column(2).cast(pa.binary())]
+            node = np.fromiter((xxhash.xxh64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), pa.array([sketch(x) for x in sets], pa.binary())], ["doc_id", "h", "node", "size", "sketch"])
+
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
+    drawn = cut(texts.mapInArrow(draw, "doc_id long, h long, node long, size int, sketch binary"))
+    # equal sets have equal sizes and sketches
+    nodes = cut(drawn.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("one"), F.first("size").alias("size"), F.first("sketch").alias("sketch")))
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BINS // ROWS - 1)), lambda k: F.xxhash64(F.substring(F.col("sketch"), k * (4 * ROWS) + 1, F.lit(4 * ROWS)))))
-    bands = nodes.select("id", band.alias("band", "key"))
-    hubs = bands.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("band", "id").alias("r"), "id")).alias("hub"), F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y")
-    pairs = bands.join(hubs.select("band", "key", F.col("hub.id").alias("a")), ["band", "key"]).where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    both = pairs.join(nodes.select(F.col("id").alias("a"), F.col("sketch").alias("s")), "a").join(nodes.select(F.col("id").alias("b"), F.col("sketch").alias("t")), "b").select("a", "b", "s", "t")
-    of = components(both.mapInArrow(alike, "a long, b long"))
-    rooted = nodes.join(of, F.col("id") == F.col("node"), "left").select("sketch", F.coalesce("component", "id").alias("component_id"))
-    return drawn.join(rooted, "sketch").select("doc_id", "component_id")
+    bands = nodes.where("size > 0").select("node", band.alias("band", "key"))
+    hubs = bands.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("band", "node").alias("r"), "node")).alias("hub"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
+    met = cut(bands.join(hubs.select("band", "key", F.col("hub.node").alias("a")), ["band", "key"]).select("band", "key", "a", "node"))
+    release(docs.sparkSession, 1)
+    # unordered pairs: one that two bands deal both ways is compared once
+    first = cut(met.where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+    links_ = verified(first, nodes, texts, words, similarity, seed)
+    of = components(links_)
+    apart = met.join(of, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("of"))
+    mixed = apart.groupBy("band", "key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("band", "key")
+    apart = cut(apart.join(mixed, ["band", "key"]))
+    other = apart.select("band", "key", F.col("node").alias("b"), F.col("of").alias("of_b"))
+    rest = apart.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    of = components(links_.unionByName(verified(rest, nodes, texts, words, similarity, seed)))
+    rooted = drawn.select("doc_id", "node").join(of, "node", "left").select("doc_id", F.coalesce("component", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(least, "root").select("doc_id", "component_id")
 
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:

@@ -158,6 +158,31 @@ def test_similar_documents(spark):
     assert sorted(r.doc_id for r in simhash.first_of_each(frame).collect()) == [0, 1, 2, 3, 4, 20]
 
 
+def test_similar_documents_by_whole_sets(spark):
+    """Short texts of a few templates, many near the threshold: groups are those of exact similarity."""
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randrange(9999)}"
+    texts = []
+    for _ in range(6):
+        base = [word() for _ in range(rng.choice((30, 60, 120)))]
+        for _ in range(25):
+            own = list(base)
+            for k in rng.sample(range(len(own)), rng.randint(1, max(1, len(own) // 30))):
+                own[k] = word()
+            texts.append(" ".join(own))
+    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    root = list(range(len(texts)))
+    pairs = [(a, b) for a, b in itertools.combinations(root, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in range(len(texts)):
+        if not [1 for a, b in pairs if root[a] != root[b]]:
+            break
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    assert 6 < len(set(root)) < len(root)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(documents(spark, enumerate(texts))).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_language_id(spark, empty):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = queries.op10_language_id(spark, "/root/testdata/sf0.01").join(table.select("doc_id", "lang"), "doc_id").where("held_out")
