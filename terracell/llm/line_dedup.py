@@ -5,8 +5,9 @@ fields that vary (numbers, dates, addresses, long hex) standing as ``<*>``. In a
 constant at its position when at least ``min_docs`` documents have it there; the others become
 ``<*>`` too. What is left is a line's template, if enough of it is constant; otherwise the masked
 line is. Templates found in at least ``min_docs`` documents recur, and their lines are dropped
-from all documents, except from a document most of whose words lie in such lines: that is a
-copy of others, for near-dedup to judge, not a text with boilerplate in it.
+from all documents. Documents with equal texts count as one, so copying a text makes none of its
+lines recur. Only a document with no line of its own is left as it is, if such lines hold more
+than ``most_share`` of its words, as all do unless that is 1: there is no text to clean.
 
 All counts are grouped sums that combine before the shuffle; only lines of leaves that enough
 documents share are taken apart into tokens.
@@ -66,8 +67,12 @@ def parsed(docs: DataFrame, leading: int) -> DataFrame:
 
 
 def recurring(docs: DataFrame, lines: DataFrame, leading: int, min_docs: int, constant: float) -> DataFrame:
-    """Masked forms (hashes) whose template at least ``min_docs`` documents have."""
-    seen = lines.where("doc_id is not null").groupBy("leaf", "form").agg(F.min(F.struct("doc_id", "h", "line")).alias("one"), F.countDistinct("doc_id").alias("docs"))
+    """Masked forms (hashes) whose template at least ``min_docs`` documents of different text have."""
+    # of documents with equal texts the one of smallest doc_id counts
+    least = docs.where("doc_id is not null").groupBy(F.xxhash64("text").alias("h")).agg(F.min(F.col("doc_id").cast("long")).alias("least"), F.max(F.col("doc_id").cast("long")).alias("most")).where("least <> most")
+    copies = least.select("h", "least").withColumnRenamed("h", "_h")
+    lines = lines.where("doc_id is not null").join(copies, (F.col("h") == F.col("_h")) & (F.col("doc_id") > F.col("least")), "left_anti")
+    seen = lines.groupBy("leaf", "form").agg(F.min(F.struct("doc_id", "h", "line")).alias("one"), F.countDistinct("doc_id").alias("docs"))
     seen = cut(seen)
     shared = seen.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("forms")).where(F.col("n") >= min_docs)
     alike = seen.where(F.col("docs") >= min_docs).select("form")
@@ -102,7 +107,7 @@ def dropped_lines(docs: DataFrame, leading: int = LEADING, min_docs: int = MIN_D
     hit = lines.join(again, "form").groupBy("doc_id", "h").agg(F.collect_set("line").alias("lines"), F.sum("words").alias("lost"))
     total = lines.groupBy("doc_id", "h").agg(F.sum("words").alias("words"))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc_id", "h")]
-    return hit.alias("a").join(total.alias("b"), same).where(F.col("lost") <= most_share * F.col("words")).select("a.doc_id", "a.h", "lines")
+    return hit.alias("a").join(total.alias("b"), same).where((F.col("lost") < F.col("words")) | (F.col("lost") <= most_share * F.col("words"))).select("a.doc_id", "a.h", "lines")
 
 
 def cleaned(docs: DataFrame, **options) -> DataFrame:

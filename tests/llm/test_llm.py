@@ -217,6 +217,20 @@ def test_line_dedup(spark, empty):
     assert line_dedup.clean(documents(spark, rows)).columns == empty.columns
 
 
+def test_line_dedup_cleans_documents_of_mostly_boilerplate(spark):
+    rng = random.Random(17)
+    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(12))
+    licence = "All of this may be copied and changed by all who say where it is from and keep this line"
+    rows = [(i, f"{own()}\n{own()}\n{licence}") for i in range(12)]
+    rows += [(20, f"short text of its own\n{licence}"), (21, licence)]
+    text = f"{own()}\n{own()}"
+    rows += [(30 + i, text) for i in range(15)]  # copies of one text: for near-dedup
+    got = {r.doc_id: r for r in line_dedup.report(documents(spark, rows)).collect()}
+    assert got[20].text == "short text of its own" and got[21].text == licence
+    assert all(got[i].n_dropped == 1 for i in range(12))
+    assert all(got[30 + i].text == text for i in range(15))
+
+
 def vectors(spark, seed=4, n=300, dim=16):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, dim)).astype(np.float32)
