@@ -9,7 +9,9 @@ from all documents. Documents with equal texts count as one, so copying a text m
 lines recur. Only a document with no line of its own is left as it is, if such lines hold more
 than ``most_share`` of its words, as all do unless that is 1: there is no text to clean.
 
-All counts are grouped sums that combine before the shuffle; only lines of leaves that enough
+All counts are of distinct documents, however many forms of a template one has. Sums over forms,
+which combine before the shuffle, bound them from above and the most frequent form from below;
+documents are told apart only where the bounds leave it open. Only lines of leaves that enough
 documents share are taken apart into tokens.
 
 Edge cases: null text stays null and has no lines; blank lines are never dropped; repeated rows
@@ -66,6 +68,17 @@ def parsed(docs: DataFrame, leading: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, "doc_id long, h long, line int, words int, leaf long, form long")
 
 
+def found_in(rows: DataFrame, key: list[str], of: DataFrame, min_docs: int) -> DataFrame:
+    """Those ``key`` of (form, docs) rows that at least ``min_docs`` distinct documents have.
+
+    ``of`` has the (form, doc_id) of forms in fewer documents; other forms suffice by themselves.
+    """
+    bounds = rows.groupBy(*key).agg(F.max("docs").alias("least"), F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
+    open_ = rows.join(bounds.where(F.col("least") < min_docs).select(key), key).select(*key, "form").join(of, "form")
+    told = open_.groupBy(*key).agg(F.countDistinct("doc_id").alias("n")).where(F.col("n") >= min_docs)
+    return bounds.where(F.col("least") >= min_docs).select(key).unionByName(told.select(key))
+
+
 def recurring(docs: DataFrame, lines: DataFrame, leading: int, min_docs: int, constant: float) -> DataFrame:
     """Masked forms (hashes) whose template at least ``min_docs`` documents of different text have."""
     # of documents with equal texts the one of smallest doc_id counts
@@ -92,11 +105,12 @@ def recurring(docs: DataFrame, lines: DataFrame, leading: int, min_docs: int, co
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").where("text is not null").dropDuplicates(["doc_id", "h"])
     forms = cut(texts.join(wanted, ["doc_id", "h"]).select("text", "wanted").mapInArrow(take_apart, "leaf long, form long, docs long, tokens array<string>"))
     tokens = forms.select("leaf", "form", "docs", F.posexplode("tokens").alias("at", "token"))
-    kept = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).where((F.col("n") >= min_docs) & (F.col("token") != ANY)).drop("n")
+    of = cut(lines.join(forms.where(F.col("docs") < min_docs).select("form").distinct(), "form").select("form", "doc_id").distinct())
+    kept = found_in(tokens.where(F.col("token") != ANY), ["leaf", "at", "token"], of, min_docs)
     constants = tokens.join(kept, ["leaf", "at", "token"]).groupBy("leaf", "form", "docs").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("constant"))
     size = forms.select("leaf", "form", F.size("tokens").alias("size"))
     templates = constants.join(size, ["leaf", "form"]).where(F.size("constant") >= constant * F.col("size")).select("form", "docs", F.xxhash64("leaf", "constant").alias("template"))
-    often = templates.groupBy("template").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs).select("template")
+    often = found_in(templates, ["template"], of, min_docs)
     return alike.unionByName(templates.join(often, "template").select("form")).distinct()
 
 

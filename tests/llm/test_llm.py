@@ -231,6 +231,19 @@ def test_line_dedup_cleans_documents_of_mostly_boilerplate(spark):
     assert all(got[30 + i].text == text for i in range(15))
 
 
+def test_line_templates_count_documents_not_forms(spark):
+    names = iter([a + b for a in "bcdfghklmn" for b in ("anana", "erry", "lum", "ear")])
+    line = lambda: f"The price of {next(names)} in our market is good today"
+    filler = lambda i: "\n".join(" ".join(f"{chr(97 + i % 26)}{chr(97 + k)}{chr(97 + j)}" for j in range(12)) for k in range(12))
+    one = [(1, filler(1) + "\n" + "\n".join(line() for _ in range(10)))]
+    five = [(2 + i, filler(2 + i) + f"\n{line()}\n{line()}") for i in range(5)]
+    got = line_dedup.report(documents(spark, one + five), min_docs=10).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == dict.fromkeys(range(1, 7), 0)
+    more = [(10 + i, filler(8 + i) + f"\n{line()}") for i in range(4)]
+    got = line_dedup.report(documents(spark, one + five + more), min_docs=10).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == {1: 10} | dict.fromkeys(range(2, 7), 2) | dict.fromkeys(range(10, 14), 1)
+
+
 def vectors(spark, seed=4, n=300, dim=16):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, dim)).astype(np.float32)
