@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import gc
+import math
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; only where it is unset (tests) take a local one."""
+    """Use the cluster's ``spark.checkpoint.dir``; a folder of this machine only in local mode (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ckpt-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -24,39 +28,76 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Like ``cut``, as compressed Parquet in the same shared folder: for wide rows. Goes when the application ends."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which goes when the application ends."""
     ensure_checkpoint_dir(spark)
-    at = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(at)
+    at = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return at
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # Spark drops a query's shuffle files at its end
+
+
+@contextmanager
+def own_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that start here own their shuffle files, which go when they end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as compressed Parquet in the same shared folder: for wide rows, and for the
+    disk that shuffles before it hold."""
+    spark = df.sparkSession
+    at = shared_folder(spark, "stored")
+    with own_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like those wanted that ``df`` lacks, whatever their case."""
+    has, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in has:
+            name += "_"
+        has.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def running(df: DataFrame, key: list[str], order: list[Column], weight: Column, out: str, rows: int, bucket_rows: int = 50_000) -> DataFrame:
+def running(df: DataFrame, key: list[str], order: list[Column], weight: Column, out: str, rows: int) -> DataFrame:
     """Exclusive running sum of ``weight`` within ``key``, where no task holds a whole key.
 
-    Each key is dealt into hash buckets of about ``bucket_rows`` rows; a window sums inside a
-    bucket and a second window over the few bucket totals gives each bucket its base. The
+    Each key is dealt into hash buckets, as many as the square root of the rows; a window sums
+    inside a bucket and a second window over a key's bucket totals gives each bucket its base. The
     order is by (bucket, ``order``): any fixed order serves the callers. Key columns must not
     be null. ``rows`` is the row count of ``df``, which must be cheap to read twice.
     """
-    buckets = max(1, -(-rows // bucket_rows))
-    dealt = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")).withColumn("_w", weight)
-    within = Window.partitionBy(*key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    base = dealt.groupBy(*key, "_b").agg(F.sum("_w").alias("_s")).select(*key, "_b", F.coalesce(F.sum("_s").over(across), F.lit(0)).alias("_base"))
+    b, w, r, s, base_ = fresh(df, "_b", "_w", "_r", "_s", "_base")
+    buckets = max(1, math.isqrt(rows))
+    dealt = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")).withColumn(w, weight)
+    within = Window.partitionBy(*key, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    base = dealt.groupBy(*key, b).agg(F.sum(w).alias(s)).select(*key, b, F.coalesce(F.sum(s).over(across), F.lit(0)).alias(base_))
     return (
-        dealt.withColumn("_r", F.coalesce(F.sum("_w").over(within), F.lit(0)))
-        .join(base, [*key, "_b"])
-        .withColumn(out, (F.col("_r") + F.col("_base")).cast("long"))
-        .drop("_b", "_w", "_r", "_base")
+        dealt.withColumn(r, F.coalesce(F.sum(w).over(within), F.lit(0)))
+        .join(base.hint("merge"), [*key, b])  # the bucket totals grow with the rows
+        .withColumn(out, (F.col(r) + F.col(base_)).cast("long"))
+        .drop(b, w, r, base_)
     )
 
 
@@ -82,14 +123,3 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         seen = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
-
-def release(spark: SparkSession, times: int = 3) -> None:
-    """Let Spark drop shuffle files that nothing refers to any more, before the next large one.
-
-    Python lets go of plans first, then the JVM of their shuffles, then the cleaner of files;
-    each takes a moment.
-    """
-    for _ in range(times):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fresh
 
 LEADING, MIN_DOCS, CONSTANT, MOST_SHARE = 3, 10, 0.7, 0.5
 ANY = "<*>"
@@ -124,22 +124,22 @@ def dropped_lines(docs: DataFrame, leading: int = LEADING, min_docs: int = MIN_D
     return hit.alias("a").join(total.alias("b"), same).where((F.col("lost") < F.col("words")) | (F.col("lost") <= most_share * F.col("words"))).select("a.doc_id", "a.h", "lines")
 
 
-def cleaned(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with its text rewritten, and struct _line of how many lines it had and lost."""
+def cleaned(docs: DataFrame, count: str, **options) -> DataFrame:
+    """``docs`` with its text rewritten, and struct ``count`` of how many lines it had and lost."""
     lost = dropped_lines(docs, **options)
     out = docs.alias("d").join(lost.alias("l"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("l.doc_id")) & (F.xxhash64("d.text") == F.col("l.h")), "left")
     text = F.when(F.col("l.lines").isNull(), F.col("d.text")).otherwise(F.expr("array_join(filter(split(d.text, '\\n', -1), (x, i) -> not array_contains(l.lines, i)), '\\n')"))
     had = F.when(F.col("d.text").isNull(), 0).otherwise(F.size(F.split("d.text", "\n", -1))).cast("long")
     counts = F.struct(had.alias("had"), F.coalesce(F.size("l.lines"), F.lit(0)).cast("long").alias("lost"))
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], counts.alias("_line"))
+    return out.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], counts.alias(count))
 
 
 def clean(docs: DataFrame, **options) -> DataFrame:
     """The documents without their recurring lines; n_chars, if there is one, follows the text."""
-    out = cleaned(docs, **options).select(docs.columns)
+    out = cleaned(docs, *fresh(docs, "_line"), **options).select([F.col(f"`{c}`") for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped and the text that is left."""
-    return cleaned(docs.select("doc_id", "text"), **options).select("doc_id", F.col("_line.had").alias("n_lines"), F.col("_line.lost").alias("n_dropped"), "text")
+    return cleaned(docs.select("doc_id", "text"), "_line", **options).select("doc_id", F.col("_line.had").alias("n_lines"), F.col("_line.lost").alias("n_dropped"), "text")

@@ -1,12 +1,15 @@
 """Mixing sources to target weights.
 
 Each source's words are packed, document after document, into blocks of fixed length. The mix
-is a row of slots dealt into output shards; a shard's counts per source are a multinomial draw
-without replacement from fixed source totals, so that the sources' sums meet their targets
-whatever the draw. Counts come from a binary tree of seeded draws: any task finds its own
-shards' counts in logarithmic time. A source's slots are numbered on through the shards and
-mapped by a pseudorandom permutation of its blocks (a new one each time all have been used),
-then slots join blocks by index.
+is a set of output shards; a source's slots fall on them by a multinomial draw of equal
+chances, so that a shard's counts per source are random while the sources' sums meet their
+targets whatever the draw. The counts come from a binary tree of seeded binomial draws for each
+source, exact at any size: any task finds its own shards' counts in logarithmic time. A
+source's slots are numbered on through the shards and mapped by a pseudorandom permutation of
+its blocks (a new one each time all have been used), then slots join blocks by index.
+
+Targets are found by rounds of grouped sums over the sources' totals; a source's slots are dealt
+to tasks by ranges of shards. Neither sources nor slots are gathered anywhere.
 
 Edge cases: null text has size 0; a null source is a source, the last; documents of size 0 take
 0; repeated rows are documents of their own; an empty table gives no rows; very long texts are
@@ -20,33 +23,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, running
+from .common import cut, fresh, running, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 _WORD = re.compile(WORD).finditer
-BLOCK_WORDS, SHARD_SLOTS, SEED = 64, 1024, 20240607
-MOST_DRAWN = 900_000_000  # numpy's hypergeometric draws stop at 10^9; larger nodes split in proportion
+BLOCK_WORDS, SHARD_SLOTS, TASK_SLOTS, SEED = 64, 1024, 1 << 16, 20240607
 BROADCAST_SOURCES = 10_000
 
 
-def targets(totals: list[int], weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> list[float]:
-    """Words to take of each source: all words shared by weight, none above ``most`` times its own."""
-    caps = [float(most * t) for t in totals]
-    out, open_ = [0.0] * len(totals), set(range(len(totals)))
-    rest = float(sum(totals))
-    while open_:
-        unit = rest / sum(weights[i % len(weights)] for i in open_)
-        over = {i for i in open_ if unit * weights[i % len(weights)] > caps[i]}
-        for i in over or open_:
-            out[i] = caps[i] if over else unit * weights[i % len(weights)]
-        if not over:
-            break
-        rest -= sum(caps[i] for i in over)
-        open_ -= over
-    return out
+def numbered(sources: DataFrame) -> DataFrame:
+    """k: the place of each row of (source, size), sources distinct, by code point with null last."""
+    order = F.col("source").asc_nulls_last()
+    dealt = cut(sources.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()))
+    sizes = {r[0]: r[1] for r in dealt.groupBy("_p").count().collect()}  # a row a partition
+    before, base = 0, []
+    for p in sorted(sizes):
+        base.append((p, before))
+        before += sizes[p]
+    within = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
+    start = sources.sparkSession.createDataFrame(base, "_p int, _base long")
+    return dealt.withColumn("_k", within).join(F.broadcast(start), "_p").select((F.col("_k") + F.col("_base")).alias("k"), "source", "size")
+
+
+def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
+    """(k, source, size, target) of (k, source, size): all words shared by weight, none above ``most`` times its own.
+
+    Sources above their limit stop there and the rest is shared anew, until none is above.
+    """
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("k") % len(weights) + 1).cast("int")).cast("long")
+    rows = cut(sources.select("k", "source", "size", weight.alias("w"), (F.col("size") * most).alias("most"), F.lit(False).alias("full")))
+    while True:
+        size, share, stopped, n_full, n = rows.agg(F.sum("size"), F.sum(F.when(~F.col("full"), F.col("w"))), F.sum(F.when(F.col("full"), F.col("most"))), F.count_if("full"), F.count("*")).first()
+        unit = float(size - (stopped or 0)) / share if n_full < n else 0.0
+        now = rows.withColumn("full", F.col("full") | (F.lit(unit) * F.col("w") > F.col("most")))
+        if now.agg(F.count_if("full")).first()[0] == n_full:
+            return rows.select("k", "source", "size", F.when(F.col("full"), F.col("most").cast("double")).otherwise(F.lit(unit) * F.col("w")).alias("target"))
+        rows = cut(now)
 
 
 def permuted(j: np.ndarray, n: int, key: tuple[int, ...]) -> np.ndarray:
@@ -68,94 +83,84 @@ def permuted(j: np.ndarray, n: int, key: tuple[int, ...]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def shard_counts(totals: np.ndarray, shards: int, per: int, seed: int, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, slots of each source before it, slots of each in it) for lo <= shard < hi."""
-
-    def node(a: int, b: int, counts: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        if b <= lo or a >= hi:
-            return
+def shard_counts(slots: int, shards: int, seed: int, k: int, lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
+    """(shard, slots before it, slots in it) of source ``k`` for lo <= shard < hi, empty shards left out."""
+    todo = [(0, shards, 0, slots)]
+    while todo:
+        a, b, before, n = todo.pop()
+        if not n or b <= lo or a >= hi:
+            continue
         if b - a == 1:
-            yield a, before, counts
-            return
+            yield a, before, n
+            continue
         mid = (a + b) // 2
-        take, all_ = min(int(counts.sum()), (mid - a) * per), int(counts.sum())
-        if all_ < MOST_DRAWN:
-            left = np.random.default_rng([seed, a, b]).multivariate_hypergeometric(counts, take)
-        else:
-            exact = counts * (take / all_)
-            left = np.minimum(np.floor(exact).astype(np.int64), counts)
-            short = take - int(left.sum())
-            left[np.argsort(left - exact, kind="stable")[:short]] += 1
-        yield from node(a, mid, left, before)
-        yield from node(mid, b, counts - left, before + left)
-
-    yield from node(0, shards, totals, np.zeros_like(totals))
+        left = int(np.random.default_rng([seed, k, a, b]).binomial(n, (mid - a) / (b - a)))
+        todo += [(mid, b, before + left, n - left), (a, mid, before, left)]
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def plan(sized: DataFrame, weights: tuple[int, ...], most: int, block_words: int) -> list[tuple]:
-    """(k, source, source_size, target, block_words, blocks, slots) by code point, null last."""
-    totals = [(r[0], int(r[1] or 0)) for r in sized.groupBy("source").agg(F.sum("size")).orderBy(F.col("source").asc_nulls_last()).collect()]
-    rows = []
-    for k, ((source, size), target) in enumerate(zip(totals, targets([t for _, t in totals], weights, most), strict=True)):
-        per = max(1, min(block_words, size // 64))  # small sources: shorter blocks, for a fine enough count
-        blocks = -(-size // per)
-        rows.append((k, source, size, target, per, blocks, min(round(target * blocks / size), most * blocks) if size else 0))
-    return rows
+def plan(sized: DataFrame, weights: tuple[int, ...], most: int, block_words: int) -> DataFrame:
+    """(k, source, source_size, target, per, blocks, slots): a row a source; blocks hold ``per`` words."""
+    totals = sized.groupBy("source").agg(F.sum("size").cast("long").alias("size"))
+    size, per, blocks = F.col("size"), F.col("per"), F.col("blocks")
+    rows = targets(numbered(totals), weights, most).withColumn("per", F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(size / 64))).cast("long"))  # small sources: shorter blocks, for a fine enough count
+    rows = rows.withColumn("blocks", F.ceil(size / per).cast("long"))
+    slots = F.when(size > 0, F.least(F.round(F.col("target") * blocks / size).cast("long"), most * blocks)).otherwise(0)
+    return rows.select("k", "source", size.alias("source_size"), "target", "per", "blocks", slots.cast("long").alias("slots"))
 
 
-def slots(spark, sources: list[tuple], shard_slots: int, seed: int) -> DataFrame:
-    """(shard, slot, k, block): the mix, slot by slot."""
-    totals = np.array([r[6] for r in sources], dtype=np.int64)
-    blocks = [r[5] for r in sources]
-    shards = max(1, -(-int(totals.sum()) // shard_slots)) if len(totals) else 0
+def slots(sources: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
+    """(shard, slot, k, block): the mix, slot by slot; ``total`` of them, in order of (shard, slot)."""
+    shards = max(1, -(-total // shard_slots))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            if not len(ids):
-                continue
-            for shard, before, counts in shard_counts(totals, shards, shard_slots, seed, int(ids.min()), int(ids.max()) + 1):
-                ks, bs = [], []
-                for k in np.flatnonzero(counts):
-                    j = np.arange(before[k], before[k] + counts[k])
-                    for epoch in np.unique(j // blocks[k]):
-                        now = j[j // blocks[k] == epoch]
-                        bs.append(permuted(now % blocks[k], blocks[k], (seed, int(k), int(epoch))))
-                        ks.append(np.full(len(now), k))
-                if ks:
-                    order = np.random.default_rng([seed, 1, shard]).permutation(int(counts.sum()))
-                    k, b = np.concatenate(ks)[order], np.concatenate(bs)[order]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), shard)), pa.array(np.arange(len(k))), pa.array(k.astype(np.int32)), pa.array(b)], ["shard", "slot", "k", "block"])
-
-    tasks = max(1, min(shards, spark.sparkContext.defaultParallelism * 4, -(-shards // 16)))
-    return spark.range(0, shards, 1, tasks).mapInArrow(run, "shard long, slot long, k int, block long")
-
-
-def mixed(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+            for k, blocks, n, part, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = list(shard_counts(n, shards, seed, k, shards * part // parts, shards * (part + 1) // parts))
+                if not found:
+                    continue
+                shard, before, counts = (np.array(c, np.int64) for c in zip(*found, strict=True))
+                j = np.arange(before[0], before[-1] + counts[-1])
+                block = np.empty(len(j), np.int64)
+                for epoch in range(int(j[0]) // blocks, int(j[-1]) // blocks + 1):
+                    now = j // blocks == epoch
+                    block[now] = permuted(j[now] % blocks, blocks, (seed, k, epoch))
+                order = np.random.default_rng([seed, 1, k, part]).integers(0, 1 << 62, len(j))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(shard, counts)), pa.array(order), pa.array(np.full(len(j), k)), pa.array(block)], ["shard", "slot", "k", "block"])
+
+    parts = F.greatest(F.lit(1), F.least(F.lit(shards), F.ceil(F.col("slots") / TASK_SLOTS))).cast("long")
+    dealt = sources.where("slots > 0").withColumn("parts", parts).select("k", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "parts")
+    tasks = max(1, min(4 * sources.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_SLOTS)))
+    return dealt.repartition(tasks, "k", "part").mapInArrow(run, "shard long, slot long, k long, block long")
+
+
+def mixed(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED, order: tuple[str, ...] = ("doc_id", "size")) -> tuple[DataFrame, DataFrame, DataFrame]:
     """From (doc_id, source, size): the documents with their place, the slots, and what slots take.
 
+    Documents stand by a hash of the ``order`` columns and then by these; only rows equal in them may change places.
+
     Documents: doc_id, source, size, source_size, target, k, begin (words of its source before
-    it). Taken: k, begin, block, from_word, to_word (in the document), times.
+    it). Slots: shard, slot (a place in the shard's order), k, block. Taken: k, begin, block,
+    from_word, to_word (in the document), times.
     """
-    spark = sized.sparkSession
     sized = cut(sized.select("doc_id", "source", "size"))
-    sources = plan(sized, weights, most, block_words)
-    frame = spark.createDataFrame([r[:6] for r in sources], "k int, source string, source_size long, target double, per long, blocks long")
-    frame = F.broadcast(frame) if len(sources) <= BROADCAST_SOURCES else frame
+    sources = cut(plan(sized, weights, most, block_words))
+    n_sources, total = sources.agg(F.count("*"), F.sum("slots")).first()
+    frame = sources.drop("slots")
+    frame = F.broadcast(frame) if n_sources <= BROADCAST_SOURCES else frame
     placed = sized.alias("d").join(frame.alias("f"), F.col("d.source").eqNullSafe(F.col("f.source"))).select("d.*", "k", "source_size", "target", "per")
-    docs = cut(running(placed, ["k"], [F.col("doc_id"), F.col("size")], F.col("size"), "begin", sized.count()))
-    all_slots = slots(spark, sources, shard_slots, seed)
+    docs = cut(running(placed, ["k"], [F.col(c) for c in order], F.col("size"), "begin", sized.count()))
+    all_slots = slots(sources, int(total or 0), shard_slots, seed)
     end = F.col("begin") + F.col("size")
     parts = (
         docs.where("size > 0")
         .select("k", "begin", "size", "per", F.explode(F.sequence(F.floor(F.col("begin") / F.col("per")), F.floor((end - 1) / F.col("per")))).alias("block"))
         .select("k", "begin", "block", (F.greatest(F.col("block") * F.col("per"), F.col("begin")) - F.col("begin")).alias("from_word"), (F.least((F.col("block") + 1) * F.col("per"), F.col("begin") + F.col("size")) - F.col("begin")).alias("to_word"))
     )
-    taken = parts.join(all_slots.groupBy("k", "block").agg(F.count("*").alias("times")), ["k", "block"])
+    taken = parts.join(all_slots.groupBy("k", "block").agg(F.count("*").alias("times")).hint("merge"), ["k", "block"])
     return docs.drop("per"), all_slots, taken
 
 
@@ -163,7 +168,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """Per document: size, its source's size and target, and the words that the mix takes of it."""
     placed, _, taken = mixed(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), **options)
     words = taken.groupBy("k", "begin").agg(F.sum((F.col("to_word") - F.col("from_word")) * F.col("times")).alias("taken"))
-    out = placed.where("size > 0").join(words, ["k", "begin"], "left").unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
+    out = placed.where("size > 0").join(words.hint("merge"), ["k", "begin"], "left").unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -171,34 +176,38 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: copy c of a document holds its words in blocks taken more than c times.
 
     Keeps the columns of ``docs``, with text and n_chars rewritten; a document that no slot
-    takes is left out. Rows are told apart by (doc_id, source, text hash); equal rows share
-    what any of them is given.
+    takes is left out. Every row is a document of its own, repeated rows too; extra columns may
+    have any name. Null texts have no words and are left out.
     """
-    key = F.struct("doc_id", "source", F.xxhash64("text").alias("h"))
-    sized = docs.select(key.alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
-    placed, _, taken = mixed(sized, **options)
+    names = docs.columns
+    row, copies = fresh(docs, "_row", "_copies")
+    # rows get a number, fixed by being written; places go by content, so equal rows alone can change places
+    whole = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    key = F.struct("doc_id", F.xxhash64("text").alias("h"), F.col(row).alias("row"))
+    placed, _, taken = mixed(whole.select(key.alias("doc_id"), "source", word_count(F.col("text")).alias("size")), order=("doc_id.doc_id", "doc_id.h", "size"), **options)
     ranges = (
         taken.select("k", "begin", "from_word", "to_word", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
         .groupBy("k", "begin", "copy")
         .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("ranges"))  # the blocks of one document
-        .join(placed.where("size > 0").select("k", "begin", F.col("doc_id").alias("_key")), ["k", "begin"])
-        .groupBy("_key")
-        .agg(F.collect_list("ranges").alias("_copies"))
+        .join(placed.where("size > 0").select("k", "begin", F.col("doc_id.row").alias("row")).hint("merge"), ["k", "begin"])
+        .groupBy("row")
+        .agg(F.collect_list("ranges").alias("copies"))
     )
-    same = F.col("r._key.doc_id").eqNullSafe(F.col("d.doc_id")) & F.col("r._key.source").eqNullSafe(F.col("d.source")) & (F.col("r._key.h") == F.xxhash64("d.text"))
-    names, at = docs.columns, docs.columns.index("text")
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, texts = [], []
-            for i, (text, copies) in enumerate(zip(batch.column(at), batch.column(len(names)).to_pylist(), strict=True)):
-                for ranges_ in copies:
-                    rows.append(i)
-                    texts.append(words_of(text.as_py(), ranges_))
-            taken_rows = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else taken_rows.column(k) for k in range(len(names))], names)
-
-    out = docs.alias("d").join(ranges.alias("r"), same).select(*[F.col(f"d.`{c}`") for c in names], F.col("r._copies")).mapInArrow(run, docs.schema)
+            for start in range(0, batch.num_rows, 64):
+                part, rows, texts = batch.slice(start, 64), [], []
+                for i, (text, copies_) in enumerate(zip(part.column(at), part.column(len(names)).to_pylist(), strict=True)):
+                    for ranges_ in copies_:
+                        rows.append(i)
+                        texts.append(words_of(text.as_py(), ranges_))
+                taken_rows = part.take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else taken_rows.column(k) for k in range(len(names))], names)
+
+    joined = whole.alias("d").join(ranges.alias("r").hint("merge"), F.col(f"d.{row}") == F.col("r.row"))
+    out = joined.select(*[F.col(f"d.`{c}`") for c in names], F.col("r.copies").alias(copies)).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, release, stored
+from .common import components, cut, fresh, own_shuffles, stored
 
 SEGMENTS, WIDTH, SLICE = 16, 4, 1 << 16
 
@@ -98,7 +98,7 @@ def groups(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     return rooted.join(first, "root").select("doc_id", "fp", "component_id")
 
 
-BINS, ROWS = 128, 4
+BINS, ROWS = 256, 8
 
 
 def shingle_set(text: bytes, words: int, seed: int) -> np.ndarray:
@@ -106,16 +106,25 @@ def shingle_set(text: bytes, words: int, seed: int) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.uint64), *(h.copy() for h in shingle_hashes(text, words, seed))]))
 
 
-def sketch(h: np.ndarray) -> bytes:
-    """The smallest shingle hash of each of 128 bins, 32 bits each; an empty bin borrows the next one's."""
+def sketch(h: np.ndarray) -> np.ndarray:
+    """The smallest shingle hash of each of 256 bins, 32 bits each; an empty bin borrows the next one's."""
     out = np.zeros(BINS, np.uint32)
     if len(h):
-        bins = h >> np.uint64(57)
+        bins = h >> np.uint64(64 - BINS.bit_length() + 1)
         first = np.concatenate(([True], bins[1:] != bins[:-1]))
-        full, low = bins[first].astype(np.int64), (h[first] >> np.uint64(25)).astype(np.uint32)
+        full, low = bins[first].astype(np.int64), (h[first] >> np.uint64(24)).astype(np.uint32)
         at = np.searchsorted(full, np.arange(BINS)) % len(full)
         out = low[at] + ((full[at] - np.arange(BINS)) % BINS).astype(np.uint32) * np.uint32(0x9E3779B1)
-    return out.tobytes()
+    return out
+
+
+_ODD = np.random.default_rng(77).integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(h: np.ndarray) -> np.ndarray:
+    """One number for each run of ROWS bins: equal if the bins are."""
+    mixed = (sketch(h).reshape(-1, ROWS).astype(np.uint64) * _ODD).sum(axis=1, dtype=np.uint64) * _ODD[0]
+    return (mixed ^ (mixed >> np.uint64(31))).view(np.int64)
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float, seed: int) -> DataFrame:
@@ -149,53 +158,81 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, s
     return cut(whole.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long"))
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
-    """(doc_id, component_id) by shingle similarity (Jaccard) of at least ``similarity``.
+def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """(doc_id, h, root): rows with equal root are joined by links of shingle similarity (Jaccard) of at least ``similarity``.
 
-    Pairs that similar differ in up to sixteen fingerprint bits, out of the grid join's reach
-    (of near copies with similarity 0.8 or more, 6 % lie within 2 bits). So the shingles that
-    fingerprints would sum are sampled by minimum instead, for candidates only: documents with
-    equal quadruples of minima meet, and the whole shingle sets decide. First each meets a hub
-    that differs from band to band, which joins large groups of copies by few pairs; then every
-    two that meet and are not joined yet are compared. Equal sets are one node. Rows without
-    doc_id are left out.
+    Three rounds find pairs, whole shingle sets decide each, and components join them:
+    fingerprints within 2 bits meet in the grid; documents whose sketches agree in a run of
+    bins meet a hub that differs from run to run, which joins large groups of copies by few
+    pairs; then every two that meet in a run and are not joined yet are compared. The sketches
+    are needed since pairs as similar as 0.8 differ in up to sixteen fingerprint bits, out of
+    the grid's reach. Equal sets are one node. h tells different texts of one doc_id apart.
+    Rows without doc_id are left out.
     """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(t.as_py() or b"", words, seed) for t in b.column(2).cast(pa.binary())]
-            node = np.fromiter((xxhash.xxh64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), pa.array([sketch(x) for x in sets], pa.binary())], ["doc_id", "h", "node", "size", "sketch"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                b = whole.slice(start, 1024)
+                sets, fps = [], []
+                for t in b.column(2).cast(pa.binary()):
+                    text = t.as_py() or b""
+                    sets.append(shingle_set(text, words, seed))
+                    fps.append(fingerprint(text, words, seed))
+                node = np.fromiter((xxhash.xxh64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
+                fp = np.array(fps, np.uint64)
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (BINS // ROWS), pa.int32()), pa.array(np.concatenate([band_keys(x) for x in sets])))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), pa.array(fp.view(np.int64)), pa.array(popcounts(fp).view(np.int64)), bands], ["doc_id", "h", "node", "size", "fp", "cell", "bands"])
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
-    drawn = cut(texts.mapInArrow(draw, "doc_id long, h long, node long, size int, sketch binary"))
+    drawn = stored(texts.mapInArrow(draw, "doc_id long, h long, node long, size int, fp long, cell long, bands array<long>"))
     # equal sets have equal sizes and sketches
-    nodes = cut(drawn.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("one"), F.first("size").alias("size"), F.first("sketch").alias("sketch")))
-    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BINS // ROWS - 1)), lambda k: F.xxhash64(F.substring(F.col("sketch"), k * (4 * ROWS) + 1, F.lit(4 * ROWS)))))
-    bands = nodes.where("size > 0").select("node", band.alias("band", "key"))
-    hubs = bands.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("band", "node").alias("r"), "node")).alias("hub"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
-    met = cut(bands.join(hubs.select("band", "key", F.col("hub.node").alias("a")), ["band", "key"]).select("band", "key", "a", "node"))
-    release(docs.sparkSession, 1)
-    # unordered pairs: one that two bands deal both ways is compared once
-    first = cut(met.where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    links_ = verified(first, nodes, texts, words, similarity, seed)
-    of = components(links_)
-    apart = met.join(of, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("of"))
-    mixed = apart.groupBy("band", "key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("band", "key")
-    apart = cut(apart.join(mixed, ["band", "key"]))
-    other = apart.select("band", "key", F.col("node").alias("b"), F.col("of").alias("of_b"))
-    rest = apart.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    of = components(links_.unionByName(verified(rest, nodes, texts, words, similarity, seed)))
-    rooted = drawn.select("doc_id", "node").join(of, "node", "left").select("doc_id", F.coalesce("component", "node").alias("root"))
+    nodes = stored(drawn.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("one"), *[F.first(c).alias(c) for c in ("size", "fp", "cell", "bands")]))
+    some = nodes.where("size > 0")
+    sides = lambda pairs: pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    with own_shuffles(docs.sparkSession):
+        first_of = some.groupBy("fp").agg(F.min("node").alias("hub"))
+        grid = links(some.select("fp", "cell").distinct()).join(first_of.withColumnsRenamed({"fp": "a", "hub": "x"}), "a").join(first_of.withColumnsRenamed({"fp": "b", "hub": "y"}), "b")
+        same = some.select("fp", F.col("node").alias("y")).join(first_of, "fp").select(F.col("hub").alias("x"), "y")
+        near = cut(sides(grid.select("x", "y").unionByName(same)))
+        bands = some.select("node", F.posexplode("bands").alias("band", "key"))
+        hubs = bands.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("band", "node").alias("r"), "node")).alias("hub"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
+        met = stored(bands.join(hubs.select("band", "key", F.col("hub.node").alias("a")), ["band", "key"]).select("band", "key", "a", "node"))
+        first = cut(near.unionByName(sides(met.select(F.col("a").alias("x"), F.col("node").alias("y")))).distinct())
+        links_ = verified(first, nodes, texts, words, similarity, seed)
+        of = components(links_)
+        apart = met.join(of, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("of"))
+        mixed = apart.groupBy("band", "key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("band", "key")
+        apart = cut(apart.join(mixed, ["band", "key"]))
+        other = apart.select("band", "key", F.col("node").alias("b"), F.col("of").alias("of_b"))
+        rest = apart.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+        of = components(links_.unionByName(verified(rest, nodes, texts, words, similarity, seed)))
+    return drawn.select("doc_id", "h", "node").join(of, "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("root"))
+
+
+def similar_groups(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, component_id): the smallest doc_id reachable by links of ``similar_rows``; a row a row of ``docs`` with doc_id."""
+    rooted = similar_rows(docs, **options)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(least, "root").select("doc_id", "component_id")
 
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of similar ones: that of smallest doc_id, one row of it."""
-    groups_ = cut(similar_groups(docs, **options))
-    kept = groups_.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    out = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    """``docs`` with one row of each group of similar texts: that of smallest doc_id (then text hash).
+
+    Edge cases: null and empty texts have the empty set and are one group; different texts
+    under one doc_id are judged each by itself; of rows equal in doc_id and text the smallest by
+    all columns stays; rows without doc_id all stay; an empty table stays empty; extra columns may have any name.
+    """
+    rooted = cut(similar_rows(docs, **options))
+    kept = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("one"))
+    again = rooted.groupBy("doc_id", "h").agg(F.count("*").alias("n"))
+    kept = cut(kept.join(again, (F.col("one.doc_id") == F.col("doc_id")) & (F.col("one.h") == F.col("h"))).select("doc_id", "h", "n"))
+    key, h, n, row = fresh(docs, "_id", "_h", "_n", "_row")
+    found = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64("text")).join(kept.withColumnsRenamed({"doc_id": key, "h": h, "n": n}), [key, h])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = found.where(F.col(n) == 1).select(columns)
     if kept.where("n > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
+        repeated = found.where(F.col(n) > 1).groupBy(key, h).agg(F.min(F.struct(*columns)).alias(row))
+        out = out.unionByName(repeated.select(*[F.col(f"{row}.`{c}`") for c in docs.columns]))
     return out.unionByName(docs.where("doc_id is null"))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, stored
+from .common import stored
 
 LENGTH, GRAM, SLAB = 50, 16, 1 << 15
 _XXH3 = xxhash.xxh3_64_intdigest
@@ -283,10 +283,8 @@ def close_look(found: DataFrame, length: int, most: int = 4096) -> DataFrame:
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, th, spans): the bytes to remove from each text of (doc, th, text), unmerged, by begin."""
-    spark = docs.sparkSession
     known = docs.where("doc is not null")
     found = stored(contexts(known, verdicts(samples(known.select("doc", "text"), length)), length))
-    release(spark)
     lost = close_look(found, length).unionByName(found.where("ctx is null").select("doc", "th", F.col("begin").alias("a"), F.col("stop").alias("b")))
     return stored(lost.groupBy("doc", "th").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
 

@@ -101,7 +101,68 @@ def test_mixing(spark, docs, empty):
         target[source[r.doc_id]] = r.target
     assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] + 5 for s in target)
     assert mixing.mix(empty).count() == 0
-    assert mixing.targets([10, 100, 1000]) == pytest.approx([30.0, 300.0, 780.0])
+
+
+def shares(sizes, weights=(5, 2, 1), most=3):
+    """Targets one source at a time: the one furthest above its limit stops first."""
+    left, out = dict(enumerate(sizes)), {}
+    while left:
+        unit = (sum(sizes) - sum(out.values())) / sum(weights[k % 3] for k in left)
+        over = [k for k in left if unit * weights[k % 3] > most * left[k]]
+        if not over:
+            return out | {k: unit * weights[k % 3] for k in left}
+        k = max(over, key=lambda k: unit * weights[k % 3] / max(1e-9, left[k]))
+        out[k] = most * left.pop(k)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[10, 100, 1000], [0], [5], [0, 0, 7], [1, 1000, 2, 50, 3, 9, 100, 100000], [0, 0], []])
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame([(k, f"s{k}", n) for k, n in enumerate(sizes)], "k long, source string, size long")
+    got = {r.k: r.target for r in mixing.targets(rows).collect()}
+    assert got == pytest.approx(shares(sizes))
+
+
+def test_sources_are_numbered_by_code_point(spark):
+    names = ["b", "a", None, "é", "Z", "", "\U0001f600", "\uffee"]
+    got = {r.source: r.k for r in mixing.numbered(spark.createDataFrame([(x, 1) for x in names], "source string, size long")).collect()}
+    assert got == {x: k for k, x in enumerate([*sorted(x for x in names if x is not None), None])}
+
+
+@pytest.mark.parametrize("slots", [1, 700, 5_000_000_000_000])
+def test_shard_counts_are_a_multinomial_draw(slots):
+    """The tree gives every shard its own part of the slots, in any range, and counts vary as they should."""
+    whole = list(mixing.shard_counts(slots, 64, 5, 2, 0, 64))
+    assert sum(n for _, _, n in whole) == slots
+    assert [b for _, b, _ in whole] == list(itertools.accumulate((n for _, _, n in whole), initial=0))[:-1]
+    assert [x for a in range(0, 64, 16) for x in mixing.shard_counts(slots, 64, 5, 2, a, a + 16)] == whole
+    if slots > 64:
+        by = dict((s, n) for s, _, n in whole)
+        chi = sum((by.get(s, 0) - slots / 64) ** 2 / (slots / 64) for s in range(64))
+        assert 25 < chi < 115  # 63 degrees of freedom
+
+
+def test_taken_words_follow_the_slots(spark):
+    """What documents give is what the slots' blocks hold, block by block."""
+    sizes = [(i, f"s{i % 3}", i * 7 % 50) for i in range(200)] + [(5, "s2", 35)] * 3
+    sized = spark.createDataFrame(sizes, "doc_id long, source string, size long")
+    placed, slots_, taken = mixing.mixed(sized, block_words=8, shard_slots=32)
+    words = {}  # of each source: the document of every word, in place
+    for r in placed.collect():
+        words.setdefault(r.k, {}).update({r.begin + i: (r.begin, r.doc_id) for i in range(r["size"])})
+    assert all(sorted(w) == list(range(len(w))) for w in words.values())
+    totals = Counter()
+    for _, s, n in sizes:
+        totals[s] += n
+    per = {k: max(1, min(8, totals[f"s{k}"] // 64)) for k in range(3)}
+    want = Counter()
+    for r in slots_.collect():
+        for w in range(r.block * per[r.k], min(len(words[r.k]), (r.block + 1) * per[r.k])):
+            want[r.k, words[r.k][w][0]] += 1
+    got = Counter()
+    for r in taken.collect():
+        got[r.k, r.begin] += (r.to_word - r.from_word) * r.times
+    assert got == want
 
 
 def test_permutation_is_one():
@@ -110,10 +171,24 @@ def test_permutation_is_one():
 
 
 def test_mixed_texts_hold_what_is_taken(docs):
-    taken = sum(r.taken for r in mixing.mix(docs.dropDuplicates(["doc_id"])).collect())
-    texts = mixing.mix_texts(docs.dropDuplicates(["doc_id"]))
+    rows = mixing.mix(docs).collect()
+    texts = mixing.mix_texts(docs)
     assert texts.columns == docs.columns
-    assert sum(len(WORD.findall(r.text)) for r in texts.collect()) == taken
+    texts = texts.collect()
+    assert all(r.n_chars == len(r.text) for r in texts)
+    words = sum(len(WORD.findall(r.text)) for r in texts)
+    assert abs(words - sum(r.taken for r in rows)) <= 0.02 * words
+
+
+def test_mixed_texts_of_repeated_rows(spark):
+    """No row gives more than three times its words, be it repeated or not."""
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = spark.createDataFrame([(1, text, "a", 0, 0)] * 4 + [(2, text, "b", 0, 0), (3, None, "b", 0, 0), (None, text, None, 0, 0)], "doc_id long, text string, source string, _row long, _copies long")
+    out = mixing.mix_texts(rows).collect()
+    given_ = Counter()
+    for r in out:
+        given_[r.doc_id] += len(WORD.findall(r.text))
+    assert 0 < given_[1] <= 1200 and given_[2] <= 300 and given_[None] <= 300 and 3 not in given_
 
 
 def brute_fingerprint(text, n=3):
@@ -374,3 +449,24 @@ def test_pipeline_keeps_columns(spark):
         docs = spark.createDataFrame(out.collect(), out.schema)
         assert docs.count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= docs.count()
+
+CLASHING = DOCS + ", _line long, _Row string, _copies long, _id long, _h long, _n long, _b long, text2 string"
+
+
+@pytest.mark.parametrize("stage", ["language_id", "line_templates", "near_duplicates", "source_mix"])
+def test_stages_keep_odd_tables(spark, stage):
+    """Every column comes through, whatever its name; nulls, empty tables and repeated rows pass."""
+    import corpus_pipeline
+
+    run = getattr(corpus_pipeline, stage)
+    made = documents(spark, [(i, t) for i, t in sample_texts(seed=4, n=30)]).collect()
+    more = [(*r, 1, "r", 2, 3, 4, 5, 6, "t") for r in made] + [(None,) * 16, (99, *[None] * 15)]
+    rows = spark.createDataFrame([*more, *more[:3]], CLASHING)
+    for table in (rows, rows.limit(0)):
+        out = run(spark, table, "")
+        assert out.schema.simpleString() == rows.schema.simpleString()
+        got = out.collect()
+        assert all(r._b in (6, None) and r.text2 in ("t", None) for r in got)
+    assert not got
+    model = spark.createDataFrame([(*r[:2], "en", *r[3:]) for r in more], CLASHING)
+    assert run(spark, model, "").columns == rows.columns
