@@ -11,9 +11,11 @@ The tables are fitted on at most ``per_language`` labelled documents of each lan
 by a hash of doc_id, whole texts each. Everything else covers all documents.
 
 Edge cases: null text, or text without a letter, is ``und`` with score 0; without any learned
-language everything is; letters of scripts that no learned language uses say nothing; a row
+language everything is; a row
 with null doc_id is predicted (held_out false) but never learned from; repeated rows, ties
-(the smaller language name), very long texts and other columns need no care.
+(the smaller language name), very long texts and other columns need no care. The score is the
+share of all letters that stand in words which speak for the language: words in scripts that no
+learned language uses count for none, so a text of such words alone has score 0.
 """
 
 from __future__ import annotations
@@ -139,10 +141,10 @@ class Model:
         s = self.rows[ids * has]
         path = viterbi(s, PENALTY)
         size = np.fromiter(map(len, chunks), np.int64, len(chunks)) * has
-        total = np.bincount(path, weights=size, minlength=len(self.langs))
+        total = np.bincount(path, weights=size * (ids > 0), minlength=len(self.langs))
         best = int(total.argmax())
         edges = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
-        return self.langs[best], float(total[best] / total.sum()), [(a, b, self.langs[path[a]]) for a, b in zip(edges, edges[1:], strict=False)]
+        return self.langs[best], float(total[best] / size.sum()), [(a, b, self.langs[path[a]]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def viterbi(s: np.ndarray, penalty: float) -> np.ndarray:
@@ -165,8 +167,15 @@ def viterbi(s: np.ndarray, penalty: float) -> np.ndarray:
     return np.array(path[::-1])
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from (doc_id, lang, text), at most about ``per_language`` documents of each language."""
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, most_languages: int = 1000) -> Model:
+    """Learn from (doc_id, lang, text), at most about ``per_language`` documents of each language.
+
+    The model holds ``BUCKETS`` numbers a language; more than ``most_languages`` of them, as dirty
+    labels would give, are an error.
+    """
+    n_languages = labelled.agg(F.countDistinct("lang")).first()[0]
+    if n_languages > most_languages:
+        raise ValueError(f"{n_languages} languages to learn; at most {most_languages}: clean the labels or raise most_languages")
     have = {r[0]: r[1] for r in labelled.groupBy("lang").count().orderBy("lang").collect()}
     share = F.create_map(*[F.lit(x) for k, n in have.items() for x in (k, min(1.0, per_language / n))]) if have else None
     found: dict[str, dict[int, int]] = {k: {} for k in have}

@@ -5,7 +5,10 @@ are packed into sequences. Piece lengths take at most ``capacity`` values, so th
 on their histogram, whose size does not depend on the number of documents: bin completion
 takes the longest length left, branches over the undominated fillings of the space beside it,
 prunes by a bound on waste with the best-fit filling as incumbent, and applies the pattern it
-finds as often as the counts allow. Pieces then look up their place by (length, rank).
+finds as often as the counts allow. A filling is undominated if none of its items could give way
+to a longer one that is left and fits. Bins are completed one after the other, without
+returning to an earlier one; ``gap`` tells how many sequences more than the least possible that
+took. Pieces then look up their place by (length, rank).
 
 Edge cases: null or empty text is the end token alone (one piece of length 1); very long texts
 are cut; repeated rows are packed each; an empty table gives no rows; other columns are ignored.
@@ -99,17 +102,26 @@ def complete(space: int, lengths: list[int], left: dict[int, int], most_nodes: i
     """The filling of ``space`` with least waste: (length, copies) from the ascending ``lengths``.
 
     Depth first from the largest item that fits, with as many copies as fit, never larger than
-    the one before it: fillings in which a larger item could stand in a smaller one's place are
-    dominated and come last. The first path is best fit; a branch is pruned when all that is
-    left below it cannot beat the incumbent's waste. After ``most_nodes`` the incumbent stands.
+    the one before it. The first path is best fit; a branch is pruned when all that is left below
+    it cannot beat the incumbent's waste, and a filling is passed over if it is dominated: if one
+    of its items could give way to a longer one that is not used up and fits the waste. After
+    ``most_nodes`` the incumbent stands: a bound on the work, not on what is packed.
     """
     best: list[tuple[int, int]] = []
     waste, nodes = space, 0
     below = [0, *accumulate(left[x] * x for x in lengths)]  # tokens in the first i lengths
 
+    def dominated(room: int, chosen: list[tuple[int, int]]) -> bool:
+        used = dict(chosen)
+        for x in used:
+            at = bisect_right(lengths, x)
+            if any(left[y] > used.get(y, 0) for y in lengths[at : bisect_right(lengths, x + room, at)]):
+                return True
+        return False
+
     def visit(room: int, top: int, chosen: list[tuple[int, int]]) -> bool:
         nonlocal best, waste, nodes
-        if room < waste:
+        if room < waste and not dominated(room, chosen):
             best, waste = chosen, room
         if not waste:
             return True
@@ -166,22 +178,32 @@ def places(found: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int, in
     return rows
 
 
+def gap(histogram: dict[int, int], found: list[tuple[int, list[tuple[int, int]]]], capacity: int) -> int:
+    """Sequences used beyond a lower bound: all tokens in full sequences, and none shared by two pieces over half."""
+    tokens, large = sum(n * c for n, c in histogram.items()), sum(c for n, c in histogram.items() if 2 * n > capacity)
+    return sum(t for t, _ in found) - max(-(-tokens // capacity), large)
+
+
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
     """Every piece of ``docs`` with its sequence_id and its offset there (gapless from 0)."""
-    spark = docs.sparkSession
     cutpieces = cut(pieces(docs, tokenizer_path, capacity))
     histogram = {r[0]: r[1] for r in cutpieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    rows = places(patterns(histogram, capacity))
-    where = spark.createDataFrame(rows, "length long, lo long, hi long, copies long, base long, at long")
+    rows = np.array(sorted(places(patterns(histogram, capacity))), np.int64).reshape(-1, 6)  # by length, then rank; a few rows a length
+    length, lo, _, copies, base, at = rows.T
     order = [F.col(c) for c in ("doc_id", "piece", "start", "ids_crc32")]
     ranked = running(cutpieces, ["length"], order, F.lit(1), "rank", sum(histogram.values()))
-    k = F.col("rank") - F.col("lo")
-    return (
-        ranked.join(where, "length")
-        .where("rank >= lo and rank < hi")
-        .select(
-            "doc_id", "piece", "start", "length", "ids_crc32",
-            (F.col("base") + F.floor(k / F.col("copies"))).cast("long").alias("sequence_id"),
-            (F.col("at") + (k % F.col("copies")) * F.col("length")).cast("long").alias("offset"),
-        )
-    )
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mine, rank = b.column(3).to_numpy(), b.column(5).to_numpy()
+            begin = np.searchsorted(length, mine)
+            found = np.empty(len(mine), np.int64)
+            for n in np.unique(mine):  # the last pattern of the length that begins at the rank or before
+                own = mine == n
+                first, end = np.searchsorted(length, n), np.searchsorted(length, n, "right")
+                found[own] = begin[own] + np.searchsorted(lo[first:end], rank[own], "right") - 1
+            k = rank - lo[found]
+            sequence, offset = base[found] + k // copies[found], at[found] + k % copies[found] * mine
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+
+    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(place, f"{PIECES}, sequence_id long, offset long")

@@ -4,7 +4,9 @@ List entries are dated: they are added and removed over time. Each addition beco
 interval that ends with the next event of the same list and key. A capture asks with its host,
 every parent domain of it and its host with the first path segment; it is evaluated against the
 entries that were active when it was fetched. Intervals and captures meet by key and month, so
-a key with a long history is read a month at a time, and then by the dates.
+a key with a long history is read a month at a time, and then by the dates. An interval is laid
+out over the months in which anything was fetched, and no others: an open end or a very distant
+date costs nothing.
 
 Edge cases: null or unparsable urls, and null fetch dates, match nothing; events with a null
 key, date or list are ignored; of several events of a key on one day an addition wins; repeated
@@ -44,11 +46,12 @@ def intervals(events: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, events: DataFrame) -> DataFrame:
     """Per row of (id, url, fetched): id, url, fetched, lists (that held it then), n_entries, blocked."""
     captures = captures.select("id", "url", "fetched")
-    last = captures.agg(F.max("fetched")).first()[0]
-    months = F.sequence(F.trunc("from", "month"), F.trunc(F.coalesce(F.date_sub("until", 1), F.greatest(F.lit(last), F.col("from"))), "month"), F.expr("interval 1 month"))
-    active = intervals(events).where(F.col("until").isNull() | (F.col("from") < F.col("until"))).withColumn("month", F.explode(months))
+    month = F.trunc("fetched", "month").alias("month")
+    months = captures.where("fetched is not null").agg(F.sort_array(F.collect_set(month)).alias("months"))  # one row; the calendar bounds it
+    held = F.filter("months", lambda m: (m >= F.trunc("from", "month")) & (F.col("until").isNull() | (m < F.col("until"))))
+    active = intervals(events).where(F.col("until").isNull() | (F.col("from") < F.col("until"))).join(F.broadcast(months)).withColumn("month", F.explode(held)).drop("months")
     asked = captures.where("url is not null and fetched is not null").distinct()
-    asked = asked.select("id", "url", "fetched", F.trunc("fetched", "month").alias("month"), F.explode(keys(F.col("url"))).alias("key"))
+    asked = asked.select("id", "url", "fetched", month, F.explode(keys(F.col("url"))).alias("key"))
     met = asked.join(active, ["key", "month"]).where((F.col("fetched") >= F.col("from")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
     verdict = met.groupBy("id", "url", "fetched").agg(F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"), F.count("*").alias("n_entries"))
     same = [F.col(f"c.{c}").eqNullSafe(F.col(f"v.{c}")) for c in ("id", "url", "fetched")]

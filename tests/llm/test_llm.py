@@ -84,9 +84,20 @@ def test_bin_completion_uses_all_and_is_tight():
             for n, c in items:
                 used[n] += times * c
         assert used == h
+        assert packing.gap(h, found, 100) <= 3 + hi // 10
         assert sum(t for t, _ in found) <= -(-sum(n * c for n, c in h.items()) // 100) + 3 + hi // 10
 
 
+def test_fillings_are_as_full_as_any():
+    rng = random.Random(4)
+    for _ in range(60):
+        left = Counter(rng.randint(3, 30) for _ in range(7))
+        lengths = sorted(left)
+        best = max(sum(p) for k in range(8) for p in itertools.combinations(list(left.elements()), k) if sum(p) <= 40)
+        found = packing.complete(40, lengths, left)
+        assert sum(x * n for x, n in found) == best and all(n <= left[x] for x, n in found)
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mix(docs).collect()
     again = Counter(map(tuple, mixing.mix(docs.repartition(3)).collect()))
@@ -268,6 +279,10 @@ def test_language_id(spark, empty):
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(odd, model).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0)
     assert got[4][0] == "en" and all(0 <= s <= 1 for _, s in got.values())
+    assert got[5][0] in model.langs and got[5][1] == 0.0  # no learned language is written so
+    assert langid.accepted(documents(spark, [(1, "Привет мир"), (2, "the end of the day and of the week")]), model, 0.4).select("doc_id").collect() == [(2,)]
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(langid.learned(table), most_languages=2)
     assert langid.identify(odd, langid.fit(langid.learned(empty))).where("lang_pred <> 'und'").count() == 0
 
 
@@ -436,6 +451,13 @@ def test_url_filter(spark):
     got = {r.id: r.lists for r in url_filter.evaluate(c, e).collect()}
     assert got == {1: "", 2: "spam", 3: "", 4: "bad", 5: "bad", 6: "", 7: "", 8: "", 9: "", 10: "bad"}
     assert url_filter.evaluate(c.limit(0), e).count() == 0
+    assert url_filter.evaluate(c, e.limit(0)).where("blocked").count() == 0
+
+
+def test_distant_dates_cost_nothing(spark):
+    events = spark.range(300).select(F.lit("spam").alias("list"), F.concat(F.lit("h"), F.col("id"), F.lit(".org")).alias("key"), F.lit("2020-01-01").cast("date").alias("date"), F.lit("add").alias("action"))
+    rows = spark.createDataFrame([(1, "http://h7.org/", "9999-12-31"), (2, "http://h7.org/", "0001-01-01"), (3, "http://h8.org/", "2020-01-31")], "id long, url string, fetched string").withColumn("fetched", F.to_date("fetched"))
+    assert {r.id: r.blocked for r in url_filter.evaluate(rows, events).collect()} == {1: True, 2: False, 3: True}
 
 
 def test_pipeline_keeps_columns(spark):
