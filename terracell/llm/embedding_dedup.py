@@ -6,9 +6,14 @@ dense spots fill several runs instead of one bucket. Each round then compares th
 a node with each other (lists and reverse lists) and keeps the best. A node that has as many
 links as one comparison gives may lack some: it is compared with every node, block by block, and what
 that finds counts for both ends and joins components, so the lists' cap loses no link. The
-recall of links is audited on a bounded sample of nodes against all nodes; while it is below
-``least_recall`` another round with new hyperplanes runs. Edges at or above the threshold give
-counts and components.
+recall is audited on two bounded samples of nodes against all nodes: of nodes that have links,
+and of those without whose nearest known neighbour is nearest. While either shows less than
+``least_recall``, of links or of links within one component, another round with new hyperplanes
+runs; after ``most_rounds`` every node is compared with every node, which is exact. Edges at or
+above the threshold give counts and components.
+
+Vectors are kept in the width of their column and compared in double precision, scaled by their
+largest component first, so that very small and very large ones have their cosine too.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components link with nothing
 and stand alone; vectors of different dimension do not link; equal vectors, repeated rows
@@ -28,23 +33,27 @@ from pyspark.sql import functions as F
 from .ann import usable
 from .common import components, cut
 
-LIST, TABLES, RUN, EMIT, MORE_TABLES, BLOCK, AUDIT, SEED = 12, 10, 128, 5, 6, 2048, 512, 11
+LIST, TABLES, RUN, EMIT, MORE_TABLES, BLOCK, AUDIT, SEED = 12, 10, 128, 5, 6, 2048, 256, 11
 EDGE = "u long, v long, cos double"
+WIDTH = {"array<float>": "<f4", "array<double>": "<f8"}  # stored as the column has them
 
 
-def unit(blobs: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(blobs), np.float32).reshape(len(blobs), -1).astype(np.float64)
+def unit(blobs: list[bytes], width: str) -> np.ndarray:
+    """Vectors of length 1, in double precision."""
+    x = np.frombuffer(b"".join(blobs), width).reshape(len(blobs), -1).astype(np.float64)
+    x = x / np.abs(x).max(axis=1)[:, None]
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def nodes(rows: DataFrame) -> DataFrame:
+def nodes(rows: DataFrame, width: str) -> DataFrame:
     """(id, n, dim, v): distinct usable vectors, as bytes, with their smallest vec_id and count."""
     found = rows.where(usable("embedding") & F.col("vec_id").isNotNull()).groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = [np.asarray(x, np.float32).tobytes() for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) // 4 for x in v], pa.int32()), pa.array(v, pa.binary())], ["id", "n", "dim", "v"])
+            x = b.column(2)
+            v = [np.asarray(row, width).tobytes() for row in x.to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), x.value_lengths(), pa.array(v, pa.binary())], ["id", "n", "dim", "v"])
 
     return found.select("id", "n", "embedding").mapInArrow(run, "id long, n long, dim int, v binary")
 
@@ -65,7 +74,7 @@ def batch_of(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(c)], ["u", "v", "cos"])
 
 
-def sorted_runs(v: DataFrame, tables: int, seed: int) -> DataFrame:
+def sorted_runs(v: DataFrame, width: str, tables: int, seed: int) -> DataFrame:
     """Edges between nodes that stand near each other in orders by hyperplane signs."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +82,7 @@ def sorted_runs(v: DataFrame, tables: int, seed: int) -> DataFrame:
             dims, blobs = b.column(1).to_numpy(), b.column(2).to_pylist()
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                x = unit([blobs[i] for i in at])
+                x = unit([blobs[i] for i in at], width)
                 for t in range(tables):
                     planes = np.random.default_rng([seed, t, int(d)]).standard_normal((int(d), 62))
                     codes = ((x @ planes > 0) @ (1 << np.arange(62, dtype=np.int64)[::-1])).astype(np.int64)
@@ -85,7 +94,7 @@ def sorted_runs(v: DataFrame, tables: int, seed: int) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if len(ids) > 1:
-                yield batch_of([edges_of(np.array(ids), unit(blobs), EMIT)])
+                yield batch_of([edges_of(np.array(ids), unit(blobs, width), EMIT)])
 
         for b in batches:
             for d, t, i, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
@@ -111,7 +120,7 @@ def merged(edges: DataFrame) -> DataFrame:
     return shortened(edges.groupBy("u", "v").agg(F.max("cos").alias("cos")), "u", LIST)
 
 
-def descend(v: DataFrame, graph: DataFrame) -> DataFrame:
+def descend(v: DataFrame, width: str, graph: DataFrame) -> DataFrame:
     """Edges found among each node's neighbours and reverse neighbours."""
     back = shortened(graph, "v", LIST).select(F.col("v").alias("w"), F.col("u").alias("id"))
     seat = graph.select(F.col("u").alias("w"), F.col("v").alias("id")).unionByName(back).unionByName(v.select(F.col("id").alias("w"), "id")).distinct()
@@ -122,7 +131,7 @@ def descend(v: DataFrame, graph: DataFrame) -> DataFrame:
             for key, i, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if key != w:
                     if len(ids) > 1:
-                        parts.append(edges_of(np.array(ids), unit(blobs), EMIT))
+                        parts.append(edges_of(np.array(ids), unit(blobs, width), EMIT))
                     w, ids, blobs = key, [], []
                 ids.append(i)
                 blobs.append(blob)
@@ -130,7 +139,7 @@ def descend(v: DataFrame, graph: DataFrame) -> DataFrame:
                 yield batch_of(parts)
                 parts = []
         if len(ids) > 1:
-            yield batch_of([edges_of(np.array(ids), unit(blobs), EMIT)])
+            yield batch_of([edges_of(np.array(ids), unit(blobs, width), EMIT)])
 
     # a seat list has at most 2 x LIST + 1 rows; sorting brings each together in one task
     return seat.join(v.select("id", "v"), "id").select("w", "id", "v").repartition("w").sortWithinPartitions("w").mapInArrow(compare, EDGE)
@@ -154,7 +163,7 @@ def forest(hit: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield int(first), np.concatenate(rows), np.concatenate(columns)
 
 
-def block_links(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def block_links(width: str, threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Links of a block of asked nodes with a block of all nodes: counts, and stars that join what the links join."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -162,7 +171,7 @@ def block_links(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if left.num_rows and right.num_rows:
             ids, other = left.column("id").to_numpy(), right.column("id2").to_numpy()
             mine, weight, known = left.column("n").to_numpy(), right.column("n2").to_numpy(), right.column("asked2").to_numpy(zero_copy_only=False)
-            x, y = unit(left.column("v").to_pylist()), unit(right.column("v2").to_pylist())
+            x, y = unit(left.column("v").to_pylist(), width), unit(right.column("v2").to_pylist(), width)
             hit = np.empty((len(ids), len(other)), bool)
             for at in range(0, len(ids), 512):
                 hit[at : at + 512] = (x[at : at + 512] @ y.T >= threshold) & (ids[at : at + 512, None] != other)
@@ -187,7 +196,7 @@ def saturated(graph: DataFrame, threshold: float) -> DataFrame:
     return graph.where(F.col("cos") >= threshold).groupBy("u").count().where(F.col("count") >= min(EMIT, LIST)).select(F.col("u").alias("node"))
 
 
-def full_links(v: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+def full_links(v: DataFrame, width: str, asked: DataFrame, threshold: float) -> DataFrame:
     """(u, v, links) of the asked nodes compared with every node of their dimension, block by block.
 
     Rows with null v add to u's count of links with asked nodes (of an asked u: with all nodes);
@@ -202,55 +211,71 @@ def full_links(v: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
     rows = every.join(F.broadcast(sizes), "dim")
     left = rows.where("asked").select("dim", dealt("ask_blocks").alias("i"), each("blocks").alias("j"), "id", "n", "v").groupBy("dim", "i", "j")
     right = rows.select(F.col("dim").alias("dim2"), each("ask_blocks").alias("i2"), dealt("blocks").alias("j2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("v").alias("v2"), F.col("asked").alias("asked2")).groupBy("dim2", "i2", "j2")
-    return left.cogroup(right).applyInArrow(block_links(threshold), "u long, v long, links long")
-
-
-def audit(v: DataFrame, linked: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
-    """(links found, links there are) of a bounded sample of nodes, compared with every node."""
-    drawn = v.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(sample).collect()
+    return left.cogroup(right).applyInArrow(block_links(width, threshold), "u long, v long, links long")
+
+
+def audit(v: DataFrame, width: str, graph: DataFrame, linked: DataFrame, of: DataFrame, threshold: float, sample: int = AUDIT) -> float:
+    """The least of three shares, each against all nodes: of a linked node's links, those found and
+    those within its component, both averaged over a sample of such nodes; and of a sample of
+    nodes without links, the nearest to having one, those that have none."""
+    placed = v.join(linked, "id", "left").join(of.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "dim", "v", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
+    placed = cut(placed)
+    nearest = graph.groupBy(F.col("u").alias("id")).agg(F.max("cos").alias("cos"))
+    drawn = placed.where("links > 0").orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(sample).collect()
+    drawn += placed.where("links = 0").join(nearest, "id", "left").orderBy(F.col("cos").desc_nulls_last(), "id").limit(sample).collect()
     by_dim: dict[int, list] = {}
     for r in drawn:
-        by_dim.setdefault(r["dim"], []).append((r["id"], r["v"]))
-    asked = {d: (np.array([i for i, _ in x]), unit([bytes(b) for _, b in x])) for d, x in by_dim.items()}
+        by_dim.setdefault(r["dim"], []).append(r)
+    asked = {d: (np.array([r["id"] for r in x]), np.array([r["component"] for r in x]), unit([bytes(r["v"]) for r in x], width)) for d, x in by_dim.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, n, dims, blobs = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_pylist()
+            ids, n, dims, component, blobs = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(), b.column(4).to_pylist()
             for d in np.intersect1d(dims, list(asked)):
                 at = np.flatnonzero(dims == d)
-                q, x = asked[d]
-                hit = (x @ unit([blobs[i] for i in at]).T >= threshold) & (q[:, None] != ids[at])
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(hit @ n[at])], ["id", "links"])
-
-    there = v.select("id", "n", "dim", "v").mapInArrow(run, "id long, links long").groupBy("id").agg(F.sum("links").alias("there"))
-    found, all_ = there.join(linked, "id", "left").agg(F.sum(F.least(F.coalesce("links", F.lit(0)), "there")), F.sum("there")).first()
-    return found or 0, all_ or 0
+                q, own, x = asked[d]
+                hit = (x @ unit([blobs[i] for i in at], width).T >= threshold) & (q[:, None] != ids[at])
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(hit @ n[at]), pa.array((hit & (own[:, None] == component[at])) @ n[at])], ["id", "there", "joined"])
+
+    seen = placed.select("id", "n", "dim", "component", "v").mapInArrow(run, "id long, there long, joined long").groupBy("id").agg(F.sum("there").alias("there"), F.sum("joined").alias("joined"))
+    seen = {r["id"]: r for r in seen.collect()}  # the sample
+    has = [(r["links"], seen[r["id"]]["there"], seen[r["id"]]["joined"]) for r in drawn if r["links"]]
+    none = [seen[r["id"]]["there"] == 0 for r in drawn if not r["links"]]
+    shares = [[min(1.0, a / t) for a, t, _ in has if t], [j / t for _, t, j in has if t], none]
+    return min((float(np.mean(x)) for x in shares if x), default=1.0)
+
+
+def links_of(v: DataFrame, width: str, graph: DataFrame, asked: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, links) and (node, component): by the lists, and for the asked nodes by comparison with every node."""
+    links = graph.where(F.col("cos") >= threshold).select("u", "v")
+    links = cut(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    full = cut(full_links(v, width, asked, threshold))
+    # links of two nodes that are not asked stand in the lists; all others were compared
+    few = links.join(asked, F.col("u") == F.col("node"), "left_anti").join(asked, F.col("v") == F.col("node"), "left_anti")
+    sparse = few.join(v.select(F.col("id").alias("v"), "n"), "v").select(F.col("u").alias("id"), F.col("n").alias("links"))
+    linked = cut(sparse.unionByName(full.where("v is null").select(F.col("u").alias("id"), "links")).groupBy("id").agg(F.sum("links").alias("links")))
+    of = cut(components(few.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(full.where("v is not null").select(F.col("u").alias("a"), F.col("v").alias("b")))))
+    return linked, of
 
 
 def dedup(rows: DataFrame, threshold: float = 0.9, rounds: int = 2, least_recall: float = 0.97, most_rounds: int = 6) -> DataFrame:
     """Per row of (vec_id, embedding): vec_id, n_links, component_id, kept."""
     rows = rows.select("vec_id", "embedding")
-    v = cut(nodes(rows))
-    graph = cut(merged(sorted_runs(v, TABLES, SEED)))
-    for done in range(1, most_rounds + 1):
-        fresh = descend(v, graph)
+    width = WIDTH[rows.schema["embedding"].dataType.simpleString()]
+    v = cut(nodes(rows, width))
+    graph = cut(merged(sorted_runs(v, width, TABLES, SEED)))
+    done, recall = 0, 0.0
+    while done < most_rounds and recall < least_recall:
+        done += 1
+        found = descend(v, width, graph)
         if done > rounds:  # the audit asked for more
-            fresh = fresh.unionByName(sorted_runs(v, MORE_TABLES * done, SEED + done))
-        graph = cut(merged(graph.unionByName(fresh)))
-        if done < rounds:
-            continue
-        links = graph.where(F.col("cos") >= threshold).select("u", "v")
-        links = cut(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-        asked = cut(saturated(graph, threshold))
-        full = cut(full_links(v, asked, threshold))
-        # links of two nodes that are not asked stand in the lists; all others were compared
-        few = links.join(asked, F.col("u") == F.col("node"), "left_anti").join(asked, F.col("v") == F.col("node"), "left_anti")
-        sparse = few.join(v.select(F.col("id").alias("v"), "n"), "v").select(F.col("u").alias("id"), F.col("n").alias("links"))
-        linked = cut(sparse.unionByName(full.where("v is null").select(F.col("u").alias("id"), "links")).groupBy("id").agg(F.sum("links").alias("links")))
-        of = cut(components(few.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(full.where("v is not null").select(F.col("u").alias("a"), F.col("v").alias("b")))))
-        found, there = audit(v, linked, threshold)
-        if found >= least_recall * there:
-            break
+            found = found.unionByName(sorted_runs(v, width, MORE_TABLES * done, SEED + done))
+        graph = cut(merged(graph.unionByName(found)))
+        if done >= rounds:
+            linked, of = links_of(v, width, graph, cut(saturated(graph, threshold)), threshold)
+            recall = audit(v, width, graph, linked, of, threshold)
+    if recall < least_recall:
+        linked, of = links_of(v, width, graph, v.select(F.col("id").alias("node")), threshold)
     able = usable("embedding") & F.col("vec_id").isNotNull()
     first = rows.where(able).groupBy("embedding").agg(F.min("vec_id").alias("id"))
     known = v.select("id", "n").join(linked, "id", "left").join(of.select(F.col("node").alias("id"), "component"), "id", "left")

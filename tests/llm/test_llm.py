@@ -386,6 +386,43 @@ def test_embedding_dedup_links_dense_clusters(spark):
     assert {r.component_id for r in got.values()} == {0} and [i for i in got if got[i].kept] == [0]
 
 
+def exact_groups(x, threshold=0.9):
+    z = x / np.abs(x).max(axis=1, keepdims=True)
+    z = z / np.linalg.norm(z, axis=1, keepdims=True)
+    hit = (z @ z.T >= threshold) & ~np.eye(len(x), dtype=bool)
+    root = np.arange(len(x))
+    while True:
+        now = np.minimum(root, np.where(hit, root, len(x)).min(axis=1))
+        if (now == root).all():
+            return hit.sum(axis=1).tolist(), root.tolist()
+        root = now
+
+
+def test_embedding_dedup_in_double_precision(spark):
+    """Differences that single precision cannot hold decide links and equality."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((60, 6))
+    x[10:20] = x[0] + 1e-12 * rng.standard_normal((10, 6))  # equal as floats
+    x[20] = 1e-300 * x[1]
+    x[21] = 1e300 * x[1]
+    x[22] = 0.0
+    x[22, :2] = (0.9, np.sqrt(1 - 0.9**2) * (1 + 1e-9))  # just below 0.9 with the next
+    x[23] = np.eye(6)[0]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(100, [5e-324, 0.0]), (101, [1.0, 0.0]), (102, None)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.dedup(rows).collect()}
+    links, root = exact_groups(x)
+    assert got == dict(enumerate(zip(links, root, strict=True))) | {100: (1, 100), 101: (1, 100), 102: (0, 102)}
+
+
+def test_embedding_dedup_falls_back_on_every_pair(spark, monkeypatch):
+    """Where lists find nothing and the audit keeps saying so, all nodes are compared."""
+    monkeypatch.setattr(embedding_dedup, "sorted_runs", lambda v, *_: v.select(F.col("id").alias("u"), F.col("id").alias("v"), F.lit(-1.0).alias("cos")).where("false"))
+    frame, x = vectors(spark)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.dedup(frame, most_rounds=2).collect()}
+    links, root = exact_groups(x)
+    assert [got[i] for i in range(300)] == list(zip(links, root, strict=True))
+
+
 def test_forest_finds_connected_parts():
     hit = np.zeros((5, 5), bool)
     hit[[0, 1, 1, 2, 3], [1, 1, 3, 3, 0]] = True
