@@ -1,12 +1,27 @@
 """Main text of HTML pages by minimum-cut labelling of their blocks.
 
-A tolerant scan of tags cuts a page into blocks of text, each with its chain of open elements.
-A linear classifier turns a block's surroundings (the elements it stands in and their names,
-link share, length) into the cost of calling it content or boilerplate; these are the terminal
-capacities. Neighbours in page order, and neighbours under one parent, share smoothness edges,
-stronger the nearer they are in the tree. The minimum cut is the labelling of least cost. Blocks
-whose own cost outweighs all their edges keep their side in any minimum cut and are settled
-first; maximum flow (Dinic) labels what is left.
+A tolerant scan of tags cuts a page into blocks of text, each with its place in the tree of
+elements. What a block's words look like (length, share of links, how it ends, headings and list
+items) becomes the cost of calling it content or boilerplate; an element that opens a region, such as an article or
+a menu, is a node too, with the cost of calling the region so. These are the terminal capacities.
+Smoothness edges join each block to its region, neighbours in page order, the stronger the
+nearer they are in the tree, and neighbours in one container. The minimum cut is the labelling
+of least cost: a line that looks like boilerplate by itself stays with the article around it, a
+long sentence in a footer goes with the footer, and a region that its name calls a sidebar is content
+after all if enough of its text is. Nodes whose own cost outweighs all their
+edges keep their side in any minimum cut and are settled first; maximum flow (Dinic) labels
+what is left. All costs are log-odds.
+
+The classifier of words is a logistic regression, fitted on blocks whose side their elements tell:
+those in article or main against those in nav, header, footer or aside. It takes at most about
+``pages`` pages by a hash of their html and ``blocks`` evenly spaced labelled blocks of each, both
+parameters of ``fit``, and leans on fixed weights, which stand where nothing can be learned.
+
+Regions: article and main hold content; nav, footer, aside, dialogs, hidden elements and names
+such as comments, cookie or share lead away from it, whatever stands around them or in them;
+names of layout such as sidebar or menu do so too, and forms and page headers, until an article
+or main begins inside. Names are whole words of class and id; role, hidden, aria-hidden and
+style count as attributes of just that name.
 
 Edge cases: null or empty html gives empty text; markup that is cut off or badly nested is read
 as far as it goes; pages of any length are read whole; a page without content blocks has an
@@ -17,10 +32,13 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 from html import unescape
+from math import log2
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,41 +47,79 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script style noscript template textarea iframe svg math object select title canvas audio video".split()
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-CONTENT, AWAY = frozenset(("article", "main")), frozenset("nav footer aside form button menu dialog head fieldset label".split())
 ENDS_P = BLOCK - frozenset(("button", "option", "body", "html"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
-# The classifier: log-odds of content, and what neighbours are worth.
-IN_CONTENT, IN_AWAY, NAMED_AWAY, NAMED_CONTENT, PAGE_HEADER, HEADING = 5.0, -12.0, -12.0, 3.0, -8.0, 1.0
-BASE, PER_100_CHARS, MOST_CHARS, LINKS = -1.0, 1.0, 400, -6.0
-NEXT, SIBLING = 0.6, 0.6
+# Where elements, roles and names lead. LAYOUT ends where an article or main begins.
+NONE, CONTENT, LAYOUT, AWAY = range(4)
+ELEMENTS = dict.fromkeys(("article", "main"), CONTENT) | dict.fromkeys(("nav", "footer", "aside", "button", "menu", "dialog", "head", "label"), AWAY) | dict.fromkeys(("form", "fieldset"), LAYOUT)
+ROLES = dict.fromkeys(("main", "article"), CONTENT) | dict.fromkeys(("navigation", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"), AWAY) | dict.fromkeys(("banner", "form"), LAYOUT)
+NAMES = dict.fromkeys("ad ads adv advert adverts advertisement sponsor sponsored promo cookie cookies consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended breadcrumb breadcrumbs pagination pager comment comments reply replies respond disqus copyright hidden".split(), AWAY) | dict.fromkeys("nav navbar navigation menu menus header masthead topbar footer foot sidebar aside banner notice notices alert search widget widgets toolbar legal form".split(), LAYOUT)
+
+# Log-odds of content: of a region, what it is worth to each block in it, what words say before anything is learned, and what neighbours are worth.
+REGION, IN_REGION = {CONTENT: 1e9, LAYOUT: -12.0, AWAY: -1e9}, {CONTENT: 3.5, LAYOUT: 5.0, AWAY: 12.0}
+PRIOR = (-3.5, 0.6, -5.0, 1.0, 1.5, -0.5)  # one, log2 of the length, share of links, ends a sentence, heading, list item
+TRUST, MOST_ODDS = 5.0, 4.0
+NEXT, SIBLING, ACROSS = 1.5, 1.0, 0.2
+PAGES, BLOCKS = 1000, 64
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*+(?:>.*?(?:</\1\b[^>]*>|\Z)|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>|[^>]*+(?:>|\Z))",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role|style)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)|\b(hidden)\b", re.I)
-_AWAY_NAME = re.compile(
-    r"(?<![a-z])(?:nav|navbar|navigation|menu|menus|header|masthead|topbar|footer|foot|sidebar|aside|ad|ads|adv|advert|adverts|advertisement|banner|sponsor|sponsored|promo|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|pagination|pager|comment|comments|reply|replies|respond|disqus|widget|toolbar|copyright|legal|hidden|contentinfo|complementary|form)(?![a-z])"
-    r"|display\s*:\s*none"
-)
-_CONTENT_NAME = re.compile(r"(?<![a-z])(?:article|content|post|entry|story|main|body|text)(?![a-z])")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+").findall
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I).search
+_ENDS = re.compile(r"[.!?\u2026\u3002\uff01\uff1f][\"'\u00bb\u201c\u201d\u2019)\]]*$").search
 
 
 class Block:
-    __slots__ = ("links", "parent", "score", "text")
-
-    def __init__(self, text: str, links: int, parent: int, score: float):
-        self.text, self.links, self.parent, self.score = text, links, parent, score
-
-
-def blocks(html: str) -> list[Block]:
-    """The page's blocks of text in order."""
+    """Text, how much of it is linked, its element, the element's container, the region and the element that opens it."""
+
+    __slots__ = ("container", "element", "kind", "links", "opener", "region", "side", "text")
+
+    def __init__(self, text: str, links: int, element: int, container: int, kind: str, region: int, opener: int, side: int):
+        self.text, self.links, self.element, self.container, self.kind, self.region, self.opener, self.side = text, links, element, container, kind, region, opener, side
+
+    def features(self) -> tuple[float, ...]:
+        n = len(self.text)
+        return (1.0, log2(1 + n), min(1.0, self.links / n), float(bool(_ENDS(self.text))), float(self.kind in HEADINGS), float(self.kind == "li"))
+
+
+def region_of(tag: str, attributes: str, around: int) -> int:
+    """The region that an element opens inside another."""
+    found = ELEMENTS.get(tag, NONE)
+    if tag == "header" and around != CONTENT:
+        found = LAYOUT
+    if tag not in ("body", "html") and len(attributes) > 5:
+        for m in _ATTRIBUTE.finditer(attributes):
+            name, value = m[1].lower(), (m[2] or "").strip("\"'")
+            now = NONE
+            if name in ("class", "id"):
+                kinds = [NAMES.get(w.lower(), NONE) for w in _WORDS(value)]
+                # inside an article a header or a form's name is the article's own
+                now = AWAY if AWAY in kinds else LAYOUT if LAYOUT in kinds and around != CONTENT and found != CONTENT else LAYOUT if {w.lower() for w in _WORDS(value)} & {"nav", "navigation", "menu", "sidebar", "aside", "widget", "footer"} and tag not in ("article", "main") and around == CONTENT else NONE
+            elif name == "role":
+                now = ROLES.get(value.lower(), NONE)
+            elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _UNSEEN(value)):
+                now = AWAY
+            found = max(found, now)
+    if around == AWAY or found == NONE:
+        return around
+    if around == LAYOUT and found != CONTENT:
+        return max(around, found)
+    return found
+
+
+def scan(html: str) -> tuple[list[Block], list[int]]:
+    """The page's blocks of text in order, and the parent of each element."""
     out: list[Block] = []
-    # open elements: (tag, number, evidence, in content); evidence adds up from the root
-    stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, False)]
+    parents = [0]
+    # open elements: (tag, number, region, its opener, side that the element itself tells: 1 content, -1 not, 0 unknown)
+    stack: list[tuple[str, int, int, int, int]] = [("", 0, NONE, 0, 0)]
     text: list[str] = []
-    linked, in_link, number, heading = 0, 0, 0, 0
+    linked, in_link = 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -71,11 +127,10 @@ def blocks(html: str) -> list[Block]:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                _, parent, evidence, _ = next((e for e in reversed(stack) if e[0] in BLOCK or not e[0]))
-                inner = stack[-1][2]
-                n = len(joined)
-                score = BASE + min(evidence, inner) + PER_100_CHARS * min(n, MOST_CHARS) / 100 + LINKS * min(1.0, linked / n) + HEADING * (heading > 0)
-                out.append(Block(joined, linked, parent, score))
+                at = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK or not k)
+                tag, element, region, opener, side = stack[at]
+                up = next((k for k in range(at - 1, -1, -1) if stack[k][0] in BLOCK or not k), 0)
+                out.append(Block(joined, linked, element, stack[up][1], tag, region, opener, side))
         linked = 0
 
     def say(raw: str) -> None:
@@ -100,8 +155,6 @@ def blocks(html: str) -> list[Block]:
             deep = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
             if tag in BLOCK:
                 flush()
-                if tag[0] == "h" and tag[1:].isdigit():
-                    heading = 0
             if deep:
                 del stack[deep:]
             continue
@@ -110,7 +163,6 @@ def blocks(html: str) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-            heading = int(tag[0] == "h" and tag[1:].isdigit())
             if tag in ENDS_P:
                 open_p = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p"), 0)
                 if open_p and not any(e[0] in BLOCK for e in stack[open_p + 1 :]):
@@ -121,43 +173,59 @@ def blocks(html: str) -> list[Block]:
             continue
         if tag == "a":
             in_link = 1
-        _, _, evidence, inside = stack[-1]
-        if tag in CONTENT:
-            evidence, inside = evidence + IN_CONTENT * (not inside), True
-        elif tag in AWAY:
-            evidence += IN_AWAY
-        elif tag == "header" and not inside:
-            evidence += PAGE_HEADER
-        if tag not in ("body", "html") and len(m[4]) > 5:
-            for found in _NAMES.finditer(m[4]):
-                name = (found[1] or found[2]).lower()
-                if _AWAY_NAME.search(name):
-                    evidence += NAMED_AWAY
-                    break
-                if not inside and tag in BLOCK and _CONTENT_NAME.search(name):
-                    evidence, inside = evidence + NAMED_CONTENT, True
-        number += 1
-        stack.append((tag, number, evidence, inside))
+        _, up, around, opener, side = stack[-1]
+        told = {CONTENT: 1, AWAY: -1}.get(ELEMENTS.get(tag), -1 if tag == "header" and around != CONTENT else 0)
+        parents.append(up)
+        region = region_of(tag, m[4], around)
+        stack.append((tag, len(parents) - 1, region, opener if region == around else len(parents) - 1, told if told and side >= 0 else side))
     say(html[at:])
     flush()
-    return out
-
-
-def smooth(found: list[Block]) -> dict[int, dict[int, float]]:
-    """Edges between neighbours in page order and between neighbours under one parent."""
-    edges: dict[int, dict[int, float]] = {i: {} for i in range(len(found))}
+    return out, parents
+
+
+def steps(a: int, b: int, parents: list[int], most: int = 12) -> int:
+    """Steps between two elements through the tree, at most ``most``; an element's number is above its parent's."""
+    n = 0
+    while a != b and n < most:
+        if a > b:
+            a = parents[a]
+        else:
+            b = parents[b]
+        n += 1
+    return n
+
+
+def graph(found: list[Block], parents: list[int], weights: np.ndarray) -> tuple[list[float], dict[int, dict[int, float]]]:
+    """Costs of the blocks and, behind them, of their regions; and the edges: of blocks with their region,
+    between neighbours in page order, by their distance in the tree, and between neighbours in one container.
+    Neighbours of one region are those without regard to what stands between; across regions an edge is worth little."""
+    own, regions = odds(found, weights), {b.opener: b.region for b in found if b.region}
+    place = {opener: len(found) + k for k, opener in enumerate(regions)}
+    own += [REGION[r] for r in regions.values()]
+    edges: dict[int, dict[int, float]] = {i: {} for i in range(len(own))}
 
     def join(i: int, j: int, w: float) -> None:
         edges[i][j] = edges[j][i] = edges[i].get(j, 0.0) + w
 
-    last: dict[int, int] = {}
+    near = lambda i, j: NEXT / max(1, steps(found[i].element, found[j].element, parents) - 1)
+    beside: dict[tuple[int, int], int] = {}  # the last block of a container, and of a region
+    before: dict[int, int] = {}
     for i, b in enumerate(found):
-        if i:
-            join(i - 1, i, NEXT)
-        if (j := last.get(b.parent)) is not None:
+        if i and found[i - 1].opener != b.opener:
+            join(i - 1, i, ACROSS * near(i - 1, i))
+        if (j := before.get(b.opener)) is not None:
+            join(j, i, near(j, i))
+        if (j := beside.get((b.container, b.opener))) is not None:
             join(j, i, SIBLING)
-        last[b.parent] = i
-    return edges
+        before[b.opener] = beside[b.container, b.opener] = i
+        if b.region:
+            join(i, place[b.opener], IN_REGION[b.region])
+    return own, edges
+
+
+def odds(found: list[Block], weights: np.ndarray) -> list[float]:
+    """Log-odds of content of each block's words."""
+    return np.clip(np.array([b.features() for b in found]) @ weights, -MOST_ODDS, MOST_ODDS).tolist()
 
 
 def min_cut(scores: list[float], edges: dict[int, dict[int, float]]) -> list[bool]:
@@ -182,8 +250,6 @@ def min_cut(scores: list[float], edges: dict[int, dict[int, float]]) -> list[boo
 
 
 def _at(rest: list[int], j: int) -> int | None:
-    from bisect import bisect_left
-
     k = bisect_left(rest, j)
     return k if k < len(rest) and rest[k] == j else None
 
@@ -229,19 +295,56 @@ def flow_labels(scores: list[float], edges: list[dict[int, float]]) -> list[bool
                 path.append(step)
 
 
-def main_text(html: str | None) -> str:
-    found = blocks(html or "")
+def main_text(html: str | None, weights: np.ndarray) -> str:
+    found, parents = scan(html or "")
     if not found:
         return ""
-    return "\n".join(b.text for b, keep in zip(found, min_cut([b.score for b in found], smooth(found)), strict=True) if keep)
+    return "\n".join(b.text for b, keep in zip(found, min_cut(*graph(found, parents, weights)), strict=False) if keep)
+
+
+def regression(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic regression by Newton's method, both sides weighing alike, with a Gaussian prior around PRIOR."""
+    w = prior = np.array(PRIOR)
+    if not len(y) or y.min() == y.max():
+        return w
+    share = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
+    for _ in range(25):
+        odds = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (share * (odds - y)) + TRUST * (w - prior)
+        bend = (x * (share * odds * (1 - odds))[:, None]).T @ x + TRUST * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        w = w - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def fit(pages: DataFrame, pages_: int = PAGES, blocks: int = BLOCKS) -> np.ndarray:
+    """Weights of the classifier of words, from at most about ``pages_`` pages and ``blocks`` labelled blocks of each."""
+    usable = pages.where("html is not null and html <> ''")
+    share = min(1.0, pages_ / max(1, usable.count()))
+    drawn = usable.select("html").where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < share * (1 << 20))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for html in batch.column(0):
+                told = [b for b in scan(html.as_py())[0] if b.side]
+                out += [[*told[i * len(told) // blocks if len(told) > blocks else i].features(), float(told[i * len(told) // blocks if len(told) > blocks else i].side > 0)] for i in range(min(len(told), blocks))]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.float64()))], ["x"])
+
+    rows = np.array(sorted(r[0] for r in drawn.mapInArrow(run, "x array<double>").collect())).reshape(-1, len(PRIOR) + 1)  # the sample
+    return regression(rows[:, :-1], rows[:, -1])
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """Per row of (page_id, url, html): page_id, url, text, n_chars."""
+def extract(pages: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
+    """Per row of (page_id, url, html): page_id, url, text, n_chars; by weights of ``fit``, on these pages if none are given."""
+    pages = pages.select(F.col("page_id").cast("long"), "url", "html")
+    weights = fit(pages) if weights is None else weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h.as_py()) for h in batch.column(2)]
+            texts = [main_text(h.as_py(), weights) for h in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.mapInArrow(run, "page_id long, url string, text string, n_chars long")

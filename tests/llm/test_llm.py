@@ -432,11 +432,64 @@ def test_forest_finds_connected_parts():
 def test_html(spark):
     page = "<body><nav><ul><li><a href=/x>Home</a></ul></nav><article><h1>T &amp; t</h1><p>Some \n text<p><b>more&nbsp;text<br><p>end</article><div class='comments'><p>I say</p></div><form>f</form><script>var a='<p>x</p>'</script><footer>&copy; x</footer>"
     rows = [(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", "<p"), (5, "u", "<!-- open"), (6, "u", "<article>" + "<p>word</p>" * 3000)]
-    got = {r.page_id: r for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html_extract.extract(table.limit(0)).count() == 0
+    got = {r.page_id: r for r in html_extract.extract(table, np.array(html_extract.PRIOR)).collect()}
     assert got[1].text == "T & t\nSome text\nmore text\nend" and got[1].n_chars == len(got[1].text)
     assert [got[i].text for i in (2, 3, 5)] == ["", "", ""] and got[6].text.count("word") == 3000
 
 
+LONG = "This is a long paragraph of the article with several words in it, as articles have. It goes on for a while, and then it ends."
+# pages with the text that people would mark in them
+MARKED = [
+    (f'<article><div class="entry-header"><h1>Title</h1></div><p>{LONG}</p></article>', f"Title\n{LONG}"),
+    (f'<article><p aria-hidden="false">{LONG}</p><p data-role="form">{LONG}</p><p aria-hidden="true">{LONG}</p></article>', f"{LONG}\n{LONG}"),
+    (f'<div class="layout sidebar left"><article><p>{LONG}</p></article><p>Menu</p></div>', LONG),
+    (f"<form id=f><main><p>{LONG}</p></main><p>Search</p></form>", LONG),
+    (f'<header><a href="/">The Site</a></header><div><h1>News</h1><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div><footer><p>{LONG}</p></footer>', f"News\n{LONG}\nYes.\n{LONG}"),
+    (f'<nav><a href="/a">One</a> <a href="/b">Two</a></nav><article><header><h1>T</h1></header><p>{LONG}</p><footer>By me</footer><div id="comments"><article><p>{LONG}</p></article></div></article>', f"T\n{LONG}"),
+    (f'<div class="sidebar">{"<p>" + LONG + "</p>"}</div><article><p>{LONG}</p><ul><li>first of all</li><li>second</li></ul></article>', f"{LONG}\nfirst of all\nsecond"),
+    (f'<article><p>{LONG}<div class="cookie-notice">{LONG}</div><p>x &lt; y &amp;&nbsp;z<br>end</article>', f"{LONG}\nx < y & z end"),
+    (f'<div class="related-posts"><article><p>{LONG}</p></article></div><article><p>{LONG}</p><aside>{LONG}</aside></article>', LONG),
+    (f'<main><p>{LONG}</p><script>"<p>"</script><noscript>{LONG}</noscript><button>Go</button><p hidden>{LONG}</p><p style="display: none">{LONG}</p></main>', LONG),
+    (f'<div class="sidebar">{"<p>" + LONG + "</p>" * 1}</div>', ""),
+    ("<div class=sidebar>" + f"<p>{LONG}</p>" * 12 + "</div>", "\n".join([LONG] * 12)),
+    ("<ul><li><a href=/>Home</a><li><a href=/a>About</a></ul>", ""),
+]
+
+
+def test_html_of_marked_pages():
+    """Words kept of all that should be, and of all that are: with nothing learned and with weights as pages give them."""
+    for weights in (np.array(html_extract.PRIOR), np.array((-0.9, 0.3, -5.8, 0.7, 3.1, -1.3))):
+        right = kept = want = 0
+        for html, text in MARKED:
+            got = Counter(html_extract.main_text(html, weights).split())
+            right += (got & Counter(text.split())).total()
+            kept, want = kept + got.total(), want + len(text.split())
+        assert right >= 0.97 * kept and right >= 0.97 * want
+    assert all(html_extract.main_text(html, weights) == text for html, text in MARKED)
+
+
+def test_html_of_the_pages(spark):
+    """All of the article and nothing else on each page of the table, where it is the article element."""
+    from html import unescape
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = html_extract.fit(pages)
+    assert weights.tolist() == html_extract.fit(pages.repartition(3)).tolist()
+    got = {r.page_id: r.text for r in html_extract.extract(pages, weights).collect()}
+    turned = n = 0
+    for page in pages.collect():
+        parts = re.split(r"</?(?:p|h1)>", re.search(r"<article>(.*?)</article>", page.html, re.S)[1])
+        clean = [" ".join(unescape(re.sub(r"<[^>]*>", "", x.replace("<br>", " "))).split()) for x in parts]
+        assert got[page.page_id] == "\n".join(x for x in clean if x)
+        found, parents = html_extract.scan(page.html)
+        own, edges = html_extract.graph(found, parents, weights)
+        turned += sum((s > 0) != side for s, side in zip(own[: len(found)], html_extract.min_cut(own, edges), strict=False))
+        n += len(found)
+    assert 0.05 * n < turned < 0.3 * n  # the cut decides against a block's own words
+
+
 def test_min_cut_against_all_labellings():
     rng = random.Random(8)
     for _ in range(40):
