@@ -334,6 +334,61 @@ def test_line_templates_count_documents_not_forms(spark):
     assert {r.doc_id: r.n_dropped for r in got} == {1: 10} | dict.fromkeys(range(2, 7), 2) | dict.fromkeys(range(10, 14), 1)
 
 
+def brute_lines(rows, min_docs, leading=3, constant=0.7):
+    """What is left of each text, by counting documents of every form, token and template outright."""
+    first = {}
+    for i, t in rows:
+        if t is not None and i is not None:
+            first[t] = min(i, first.get(t, i))
+    forms, of = defaultdict(set), {}
+    for t, i in first.items():
+        for line in t.split("\n"):
+            if tokens := tuple(line_dedup.masked(line)):
+                leaf = (len(tokens), tokens[:leading])
+                forms[tokens].add(i)
+                of[tokens] = leaf
+    at, found = defaultdict(set), defaultdict(set)
+    for tokens, ids in forms.items():
+        for k, token in enumerate(tokens):
+            if token != line_dedup.ANY:
+                at[of[tokens], k, token] |= ids
+    template = {}
+    for tokens, ids in forms.items():
+        kept = tuple((k, x) for k, x in enumerate(tokens) if x != line_dedup.ANY and len(at[of[tokens], k, x]) >= min_docs)
+        if len(kept) >= constant * len(tokens):
+            template[tokens] = (of[tokens], kept)
+            found[template[tokens]] |= ids
+    again = {f for f, ids in forms.items() if len(ids) >= min_docs or (f in template and len(found[template[f]]) >= min_docs)}
+    out = Counter()
+    for i, t in rows:
+        lines = [] if t is None else t.split("\n")
+        own = [x for x in lines if tuple(line_dedup.masked(x)) not in again]
+        whole = not any(x.split() for x in own)  # no line of its own: left as it is
+        out[i, None if t is None else "\n".join(lines if whole else own)] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_dedup_against_counts(spark, seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefgh")
+    stems = [[word() * 2 for _ in range(rng.randint(1, 8))] for _ in range(12)]
+
+    def line():
+        tokens = list(rng.choice(stems))
+        for k in range(len(tokens)):
+            if rng.random() < 0.12:
+                tokens[k] = rng.choice((word(), "7", "http://x"))
+        return " ".join(tokens)
+
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 4))) + rng.choice(("", "\n", f"\nown {i} {word()} {word()} {word()}"))) for i in range(120)]
+    rows += [(200, None), (201, ""), (202, "\n \n"), *rows[:5], *((300 + i, rows[3][1]) for i in range(9))]
+    got = Counter((r.doc_id, r.text) for r in line_dedup.report(documents(spark, rows), min_docs=6).collect())
+    want = brute_lines(rows, 6)
+    assert got == want
+    assert sum(n for (i, t), n in want.items() if (i, t) not in rows) > 20  # many lose lines
+
+
 def vectors(spark, seed=4, n=300, dim=16):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, dim)).astype(np.float32)
