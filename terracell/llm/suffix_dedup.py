@@ -16,10 +16,13 @@ smaller doc_id. Finding those strings over any number of documents:
    neighbours and scans them with a stack into the tree of intervals. Intervals of at least
    ``length`` bytes whose occurrences differ in the byte to the left are maximal repeats; all
    their occurrences but those of the smallest document are marked. Intervals that do not
-   differ there are covered by the one a byte to the left.
+   differ there are covered by the one a byte to the left. An anchor with more than ``most``
+   contexts is not gathered anywhere: its contexts are dealt on, window by window, and the
+   smallest document of each window keeps it.
 4. Marks go to the texts.
 
-Equal contexts are known by 96 bits of hash; different ones are compared byte by byte.
+Equal contexts are known by 96 bits of hash, windows of very frequent anchors by 96 bits too;
+all others are compared byte by byte.
 
 Edge cases: null text is empty; texts shorter than ``length`` lose nothing; rows without doc_id
 lose nothing and take nothing from others; repeated rows are one document, and different texts
@@ -234,51 +237,62 @@ def repeats(ctx: list[bytes], docs: np.ndarray, length: int) -> Iterator[tuple[i
                     yield int(row[i]), int(offset[i]), int(offset[i]) + n
 
 
-def split_group(ctx: list[bytes], docs: list[int], length: int, most: int) -> Iterator[tuple[int, int, int]]:
-    """``repeats`` of one anchor's contexts; a large group goes in parts by its windows' content.
-
-    Equal windows hash alike, so every repeat of ``length`` bytes meets in one part; contexts
-    are then cut into single windows, which mark the same bytes.
-    """
-    if len(ctx) <= most:
-        yield from repeats(ctx, np.array(docs, np.int64), length)
-        return
-    parts = -(-sum(len(x) - length + 1 for x in ctx) // (16 * most))
-    for part in range(parts):
-        cuts = [(i, o) for i, x in enumerate(ctx) for o in range(len(x) - length + 1) if _XXH3(x[o : o + length]) % parts == part]
-        if cuts:
-            for k, a, b in repeats([ctx[i][o : o + length] for i, o in cuts], np.array([docs[i] for i, _ in cuts], np.int64), length):
-                i, o = cuts[k]
-                yield i, o + a, o + b
+def solved(rows: list[tuple], length: int) -> pa.RecordBatch:
+    """(doc, th, a, b) of whole groups of (doc, th, h, ctx, begin); windows of different anchors are never equal."""
+    out = [(rows[k][0], rows[k][1], rows[k][4] + a, rows[k][4] + b) for k, a, b in repeats([r[3] for r in rows], np.array([r[0] for r in rows], np.int64), length)]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 4)], ["doc", "th", "a", "b"])
 
 
 def close_look(found: DataFrame, length: int, most: int = 4096) -> DataFrame:
     """(doc, th, a, b): what contexts lose to others with their anchor."""
+    looked = found.where("ctx is not null").select("doc", "th", "h", "ctx", "begin")
+    hot = stored(looked.groupBy("h").count().where(F.col("count") > most).select("h"))
 
-    def solved(rows: list[tuple]) -> pa.RecordBatch:
-        out = [(rows[k][0], rows[k][1], rows[k][4] + a, rows[k][4] + b) for k, a, b in split_group([r[3] for r in rows], [r[0] for r in rows], length, 2 * most)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 4)], ["doc", "th", "a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # whole groups by anchor, solved together
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # groups by anchor, solved together; each at most ``most`` rows
         group: list[tuple] = []
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if group and group[0][2] != r[2]:
                     if held and len(held) + len(group) > most:
-                        yield solved(held)
+                        yield solved(held, length)
                         held = []
                     held += group
                     group = []
                 group.append(r)
         if held and len(held) + len(group) > most:
-            yield solved(held)
+            yield solved(held, length)
             held = []
         if held or group:
-            yield solved(held + group)
+            yield solved(held + group, length)
 
-    ordered = found.where("ctx is not null").select("doc", "th", "h", "ctx", "begin").repartition("h").sortWithinPartitions("h")
-    return ordered.mapInArrow(run, "doc long, th long, a long, b long")
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                part = whole.slice(start, 1024)
+                doc, th, h, begin, x, y = [], [], [], [], [], []
+                for d, t, g, ctx, at in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    n = len(ctx) - length + 1
+                    doc += [d] * n
+                    th += [t] * n
+                    h += [g] * n
+                    begin += range(at, at + n)
+                    x += [_XXH3(ctx[o : o + length]) for o in range(n)]
+                    y += [xxhash.xxh32_intdigest(ctx[o : o + length]) for o in range(n)]
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(th), pa.array(h), pa.array(begin), _longs(x), pa.array(y, pa.int64())], ["doc", "th", "h", "begin", "x", "y"])
+
+    ordered = looked.join(hot, "h", "left_anti").select("doc", "th", "h", "ctx", "begin").repartition("h").sortWithinPartitions("h")
+    lost = ordered.mapInArrow(groups, "doc long, th long, a long, b long")
+    if hot.isEmpty():
+        return lost
+    each = looked.join(hot, "h", "left_semi").select("doc", "th", "h", "ctx", "begin").mapInArrow(windows, "doc long, th long, h long, begin long, x long, y long")
+    owner = each.groupBy("h", "x", "y").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last").select("h", "x", "y", "owner")
+    more = each.join(owner, ["h", "x", "y"]).where(F.col("doc") > F.col("owner"))
+    return lost.unionByName(more.select("doc", "th", F.col("begin").alias("a"), (F.col("begin") + length).alias("b")))
+
+
+def _longs(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -580,12 +580,17 @@ def test_suffix_dedup(docs, empty):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
-def test_large_anchor_groups_go_in_parts():
+def test_frequent_anchors_go_window_by_window(spark):
     rng = random.Random(6)
-    ctx = [bytes(rng.choice(b"ab") for _ in range(rng.randint(10, 14))) for _ in range(200)]
-    whole = {(k, i) for k, a, b in suffix_dedup.split_group(ctx, list(range(200)), 10, 10**6) for i in range(a, b)}
-    parts = {(k, i) for k, a, b in suffix_dedup.split_group(ctx, list(range(200)), 10, 20) for i in range(a, b)}
-    assert whole == parts and whole
+    ctx = [(k, k, k % 3, bytes(rng.choice((b"ab", b"cd", b"ef")[k % 3]) for _ in range(rng.randint(10, 14))), 100 * k) for k in range(200)]
+    rows = spark.createDataFrame(ctx, "doc long, th long, h long, ctx binary, begin long").withColumn("stop", F.lit(0).cast("long"))
+    marks = lambda most: {(r.doc, i) for r in suffix_dedup.close_look(rows, 10, most).collect() for i in range(r.a, r.b)}
+    want = set()
+    for k, _, h, x, begin in ctx:
+        for o in range(len(x) - 9):
+            if any(d < k and g == h and x[o : o + 10] in y for d, _, g, y, _ in ctx):
+                want |= {(k, begin + i) for i in range(o, o + 10)}
+    assert want and marks(10) == marks(10**6) == want
 
 
 def test_url_filter(spark):
