@@ -41,14 +41,19 @@ def shingle_hashes(text: bytes, words: int, seed: int) -> Iterator[np.ndarray]:
         yield part
 
 
-def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
+def majority(hashes: Iterator[np.ndarray]) -> int:
+    """The fingerprint: bit b is set where over half of the hashes have it."""
     ones, n = np.zeros(64, np.int64), 0
-    for h in shingle_hashes(text, words, seed):
+    for h in hashes:
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         n += len(h)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
+    return majority(shingle_hashes(text, words, seed))
+
+
 def popcounts(x: np.ndarray) -> np.ndarray:
     """The popcount of each 4-bit segment of uint64 x, in that segment's place."""
     a, b = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333)
@@ -103,7 +108,7 @@ BINS, ROWS = 256, 8
 
 def shingle_set(text: bytes, words: int, seed: int) -> np.ndarray:
     """The distinct shingle hashes, in order."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *(h.copy() for h in shingle_hashes(text, words, seed))]))
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words, seed)]))
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
@@ -121,37 +126,56 @@ def sketch(h: np.ndarray) -> np.ndarray:
 _ODD = np.random.default_rng(77).integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def band_keys(h: np.ndarray) -> np.ndarray:
+def band_keys(sketched: np.ndarray) -> np.ndarray:
     """One number for each run of ROWS bins: equal if the bins are."""
-    mixed = (sketch(h).reshape(-1, ROWS).astype(np.uint64) * _ODD).sum(axis=1, dtype=np.uint64) * _ODD[0]
+    mixed = (sketched.reshape(-1, ROWS).astype(np.uint64) * _ODD).sum(axis=1, dtype=np.uint64) * _ODD[0]
     return (mixed ^ (mixed >> np.uint64(31))).view(np.int64)
 
 
+MOST_KEPT, ERRORS = 1 << 22, 4.8
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float, seed: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole shingle sets have Jaccard similarity of at least ``similarity``."""
+    """The (a, b) of ``pairs`` whose whole shingle sets have Jaccard similarity of at least ``similarity``.
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[int, tuple[int, np.ndarray]] = {}
+    Sets whose sizes differ too much go first, then those whose sketches agree in fewer bins than
+    ``ERRORS`` standard errors below the similarity; the others' texts are compared.
+    """
 
-        def of(side: int, key: int, text: pa.Scalar) -> np.ndarray:
-            if last.get(side, (None,))[0] != key:
-                last[side] = (key, shingle_set(text.as_py(), words, seed))
-            return last[side][1]
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            low = np.minimum(b.column(2).to_numpy(), b.column(3).to_numpy())
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in (4, 5))
+            least = similarity - ERRORS * np.sqrt(similarity * (1 - similarity) / np.clip(low, 1, BINS))
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in (0, 1)], ["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least))
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        held = 0
+
+        def of(key: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal held
+            if key not in known:
+                if held > MOST_KEPT:
+                    known.clear()
+                    held = 0
+                known[key] = shingle_set(text.as_py(), words, seed)
+                held += len(known[key])
+            return known[key]
 
         for batch in batches:
             ok = []
             columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary()))
             for i, (a, b, s, t) in enumerate(zip(*columns, strict=True)):
-                x, y = of(0, a, s), of(1, b, t)
+                x, y = of(a, s), of(b, t)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if both >= similarity * (len(x) + len(y) - both) - 1e-9:
                     ok.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(ok, pa.int64())) for k in (0, 1)], ["a", "b"])
 
-    size = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"))
-    # sets whose sizes differ too much cannot be that similar
-    near = pairs.join(size("a"), "a").join(size("b"), "b").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9)
-    near = cut(near.select("a", "b"))
+    side = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9)
+    near = cut(near.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(close, "a long, b long"))
     wanted = nodes.join(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "one.doc_id", "one.h")
     has = stored(texts.join(wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text"))
     whole = near.join(has.select(F.col("node").alias("a"), F.col("text").alias("s")), "a").join(has.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
@@ -176,18 +200,20 @@ def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed:
                 b = whole.slice(start, 1024)
                 sets, fps = [], []
                 for t in b.column(2).cast(pa.binary()):
-                    text = t.as_py() or b""
-                    sets.append(shingle_set(text, words, seed))
-                    fps.append(fingerprint(text, words, seed))
+                    hashes = list(shingle_hashes(t.as_py() or b"", words, seed))
+                    fps.append(majority(iter(hashes)))
+                    sets.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes])))
+                sketches = [sketch(x) for x in sets]
                 node = np.fromiter((xxhash.xxh64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
                 fp = np.array(fps, np.uint64)
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (BINS // ROWS), pa.int32()), pa.array(np.concatenate([band_keys(x) for x in sets])))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), pa.array(fp.view(np.int64)), pa.array(popcounts(fp).view(np.int64)), bands], ["doc_id", "h", "node", "size", "fp", "cell", "bands"])
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (BINS // ROWS), pa.int32()), pa.array(np.concatenate([band_keys(x) for x in sketches])))
+                small = pa.array([x.astype(np.uint8).tobytes() for x in sketches], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), pa.array(fp.view(np.int64)), pa.array(popcounts(fp).view(np.int64)), bands, small], ["doc_id", "h", "node", "size", "fp", "cell", "bands", "sketch"])
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
-    drawn = stored(texts.mapInArrow(draw, "doc_id long, h long, node long, size int, fp long, cell long, bands array<long>"))
+    drawn = stored(texts.mapInArrow(draw, "doc_id long, h long, node long, size int, fp long, cell long, bands array<long>, sketch binary"))
     # equal sets have equal sizes and sketches
-    nodes = stored(drawn.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("one"), *[F.first(c).alias(c) for c in ("size", "fp", "cell", "bands")]))
+    nodes = stored(drawn.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("one"), *[F.first(c).alias(c) for c in ("size", "fp", "cell", "bands", "sketch")]))
     some = nodes.where("size > 0")
     sides = lambda pairs: pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     with own_shuffles(docs.sparkSession):
