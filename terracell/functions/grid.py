@@ -347,3 +347,161 @@ def rings_of(cell: Column, k: int, res: int) -> Column:
         return out
 
     return run(cell)
+
+
+# --- boundaries, paths, covers --------------------------------------------------------------
+_VERTICES = np.array([(2, 1), (1, 2), (-1, 1), (-2, -1), (-1, -2), (1, -1)]) / 3  # along i and j, counter-clockwise
+
+
+def boundaries(cells: np.ndarray, res: int) -> list[np.ndarray]:
+    """Corners (latitude, longitude) of each cell in order around it, six or a pentagon's five.
+
+    A corner beyond a face's edge unfolds onto the next face; where an edge of a cell crosses an edge of the
+    icosahedron no corner is added.
+    """
+    face, i, j = _seen_from(cells, res)
+    corners = np.stack([np.stack(_degrees(_points(face, _shares(i + a, j + b, res))), axis=1) for a, b in _VERTICES], axis=1)
+    out = list(corners)
+    around = neighbours(cells, res)
+    for row in np.flatnonzero((around < 0).any(axis=1)):  # pentagons: between the centre and each two neighbours side by side
+        near = around[row][around[row] >= 0]
+        own, others = _xyz(*map(np.radians, centres(cells[[row]], res)))[0], _xyz(*map(np.radians, centres(near, res)))
+        east = np.cross([0.0, 0.0, 1.0], own)
+        north = np.cross(own, east)
+        order = np.argsort(np.arctan2(others @ north, others @ east))
+        middle = own + others[order] + np.roll(others[order], -1, axis=0)
+        out[row] = np.stack(_degrees(middle / np.linalg.norm(middle, axis=1, keepdims=True)), axis=1)
+    return out
+
+
+def _on_face(face: np.ndarray, lat: np.ndarray, lon: np.ndarray, res: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fractional i, j of positions in degrees on given faces, which need not be the nearest."""
+    g = _grid()
+    p = _xyz(np.radians(lat), np.radians(lon))
+    cos = (p * g.centres[face]).sum(axis=1)
+    r = np.sqrt(np.maximum(0, 1 - cos * cos)) / np.maximum(cos, 1e-9) / UNIT * np.sqrt(7.0) ** res
+    theta = g.axis[face] - _azimuth(g.lat[face], g.lon[face], np.radians(lat), np.radians(lon)) - (TURN if res % 2 else 0)
+    x, y = r * np.cos(theta), r * np.sin(theta)
+    return x + y / np.sqrt(3), y / (np.sqrt(3) / 2)
+
+
+def _nearest(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lattice points nearest to fractional ones (axes at 120 degrees)."""
+    q, s = i - j, j
+    t = -q - s
+    rq, rs, rt = np.rint(q), np.rint(s), np.rint(t)
+    dq, ds, dt = abs(rq - q), abs(rs - s), abs(rt - t)
+    rq, rs = np.where((dq > ds) & (dq > dt), -rs - rt, rq), np.where((ds >= dq) & (ds > dt), -rq - rt, rs)
+    return (rq + rs).astype(np.int64), rs.astype(np.int64)
+
+
+def path(a: int, b: int, res: int) -> list[int]:
+    """Cells from ``a`` to ``b``, both included, along the line between them on the face of ``a``.
+
+    Over an edge of that face, or past a pentagon, steps may skip a cell; cells that are the same give one.
+    """
+    ends = np.array([a, b])
+    if a == b:
+        return [int(a)]
+    face, i, j = _seen_from(ends[:1], res)
+    at, to = (i[0], j[0]), tuple(x[0] for x in _nearest(*_on_face(face, *centres(ends[1:], res), res)))
+    di, dj = to[0] - at[0], to[1] - at[1]
+    n = int(max(abs(di), abs(dj), abs(di - dj)))
+    if n <= 1:
+        return [int(a), int(b)]
+    t = np.arange(1, n) / n
+    x, y = _nearest(at[0] + di * t + 1e-6, at[1] + dj * t + 2e-6)
+    between = indexes(*_degrees(_points(np.repeat(face, n - 1), _shares(x, y, res))), res)
+    return list(dict.fromkeys([int(a), *between.tolist(), int(b)]))
+
+
+def inside(lat: np.ndarray, lon: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
+    """Which positions lie in the plane polygon of rings (latitude, longitude), by the even-odd rule."""
+    hit = np.zeros(len(lat), bool)
+    for ring in rings:
+        a, b = ring, np.roll(ring, -1, axis=0)
+        for (y0, x0), (y1, x1) in zip(a, b, strict=True):
+            if y0 != y1:
+                hit ^= ((y0 > lat) != (y1 > lat)) & (lon < (x1 - x0) * (lat - y0) / (y1 - y0) + x0)
+    return hit
+
+
+def cover(rings: list[np.ndarray], res: int) -> list[int]:
+    """Cells whose centres lie in the plane polygon of rings (latitude, longitude), the first ring around the others.
+
+    Candidates are the lattice points of the face of the polygon's middle between its corners'
+    and two steps around.
+    """
+    outer = rings[0]
+    middle = (outer.min(axis=0) + outer.max(axis=0)) / 2
+    face = (_xyz(*np.radians(middle))[None] @ _grid().centres.T).argmax(axis=1)
+    i, j = _on_face(np.repeat(face, len(outer)), outer[:, 0], outer[:, 1], res)
+    found: list[int] = []
+    columns = np.arange(int(np.floor(j.min())) - 2, int(np.ceil(j.max())) + 3)
+    for row in range(int(np.floor(i.min())) - 2, int(np.ceil(i.max())) + 3):  # a row of the lattice at a time
+        p = _points(np.repeat(face, len(columns)), _shares(np.full(len(columns), row), columns, res))
+        lat, lon = _degrees(p)
+        ok = inside(lat, lon, rings)
+        if ok.any():
+            cells = np.unique(indexes(lat[ok], lon[ok], res))
+            ok = inside(*centres(cells, res), rings)
+            found += cells[ok].tolist()
+    return sorted(set(found))
+
+
+def boundary_of(cell: Column, res: int) -> Column:
+    """array<struct<lat, lon>>: the corners of a cell of resolution ``res``; null for null."""
+
+    @F.pandas_udf("array<struct<lat: double, lon: double>>")
+    def run(cells: pd.Series) -> pd.Series:
+        out, ok = pd.Series([None] * len(cells), index=cells.index, dtype=object), cells.notna().to_numpy()
+        if ok.any():
+            out[ok] = pd.Series([[{"lat": a, "lon": o} for a, o in ring.tolist()] for ring in boundaries(cells[ok].to_numpy(np.int64), res)], index=cells.index[ok], dtype=object)
+        return out
+
+    return run(cell)
+
+
+def path_of(a: Column, b: Column, res: int) -> Column:
+    """array<long>: the cells on the line between two cells; null where either is."""
+
+    @F.pandas_udf("array<long>")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(p) or pd.isna(q) else path(int(p), int(q), res) for p, q in zip(x, y, strict=True)], index=x.index, dtype=object)
+
+    return run(a, b)
+
+
+def regions_of(points: Column, lat: Column, lon: Column, metres: Column, closed: Column, res: int = 8, most: float = 3000.0) -> Column:
+    """array<long>: the cells that a way touches, of ways below ``most`` metres with a point outside the centre's cell.
+
+    Cells of the points, of the lines between them and, for closed ways, of the area inside. Null where the way is
+    large, lies in the centre's cell, or touches only that.
+    """
+
+    @F.pandas_udf("array<long>")
+    def run(ps: pd.Series, a: pd.Series, o: pd.Series, m: pd.Series, c: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(ps), index=ps.index, dtype=object)
+        want = [k for k in range(len(ps)) if ps.iloc[k] is not None and len(ps.iloc[k]) and np.isfinite(a.iloc[k]) and np.isfinite(o.iloc[k]) and m.iloc[k] < most]
+        if not want:
+            return out
+        sizes = [len(ps.iloc[k]) for k in want]
+        flat = np.array([(p["lat"], p["lon"]) for k in want for p in ps.iloc[k]], np.float64)
+        cells, at = indexes(flat[:, 0], flat[:, 1], res), 0
+        middle = indexes(a.iloc[want].to_numpy(np.float64), o.iloc[want].to_numpy(np.float64), res)
+        for k, n, centre in zip(want, sizes, middle.tolist(), strict=True):
+            own, ring = cells[at : at + n].tolist(), flat[at : at + n]
+            at += n
+            if all(x == centre for x in own):
+                continue
+            found = set(own)
+            for x, y in zip(own, own[1:], strict=False):
+                if x != y:
+                    found |= set(path(x, y, res))
+            if c.iloc[k]:
+                found |= set(cover([ring], res))
+            if found != {centre}:
+                out.iloc[k] = sorted(found)
+        return out
+
+    return run(points, lat, lon, metres, closed)
