@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,38 +53,32 @@ def extent(box: Column) -> Column:
 
 
 def _along(lat: pd.Series, degrees: pd.Series) -> pd.Series:
-    """Vincenty's inverse for two points of one latitude, ``degrees`` of longitude apart."""
+    """Vincenty's inverse for two points of one latitude, ``degrees`` of longitude apart, on whole columns."""
+    phi, dl = lat.to_numpy(np.float64, na_value=np.nan), degrees.to_numpy(np.float64, na_value=np.nan)
+    out = np.where(np.isnan(phi) | np.isnan(dl), np.nan, 0.0)
+    rows = np.flatnonzero((np.abs(phi) < 90) & (dl != 0) & ~np.isnan(dl))
     b, e2 = MAJOR * (1 - FLATTENING), 1 / (1 - FLATTENING) ** 2 - 1
-
-    def one(phi: float, dl: float) -> float | None:
-        if phi != phi or dl != dl:
-            return None
-        if not dl or abs(phi) >= 90:
-            return 0.0
-        u = math.atan((1 - FLATTENING) * math.tan(math.radians(phi)))
-        su, cu, want = math.sin(u), math.cos(u), math.radians(dl)
-        lam = want
+    u, want = np.arctan((1 - FLATTENING) * np.tan(np.radians(phi[rows]))), np.radians(dl[rows])
+    su, cu, lam = np.sin(u), np.cos(u), want
+    with np.errstate(divide="ignore", invalid="ignore"):
         for _ in range(100):
-            sl, cl = math.sin(lam), math.cos(lam)
-            sin_s = math.hypot(cu * sl, cu * su - su * cu * cl)
-            if not sin_s:
-                return 0.0
+            sl, cl = np.sin(lam), np.cos(lam)
+            sin_s = np.hypot(cu * sl, cu * su - su * cu * cl)
             cos_s = su * su + cu * cu * cl
-            sigma = math.atan2(sin_s, cos_s)
-            sin_a = cu * cu * sl / sin_s
+            sigma = np.arctan2(sin_s, cos_s)
+            sin_a = np.where(sin_s != 0, cu * cu * sl / sin_s, 0.0)
             cos2 = 1 - sin_a * sin_a
-            mid = cos_s - 2 * su * su / cos2 if cos2 else 0.0
+            mid = np.where(cos2 != 0, cos_s - 2 * su * su / cos2, 0.0)
             c = FLATTENING / 16 * cos2 * (4 + FLATTENING * (4 - 3 * cos2))
             old, lam = lam, want + (1 - c) * FLATTENING * sin_a * (sigma + c * sin_s * (mid + c * cos_s * (2 * mid * mid - 1)))
-            if abs(lam - old) < 1e-13:
+            if not (np.abs(lam - old) >= 1e-13).any():
                 break
         k = cos2 * e2
         big = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
         small = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
         turn = small * sin_s * (mid + small / 4 * (cos_s * (2 * mid * mid - 1) - small / 6 * mid * (4 * sin_s * sin_s - 3) * (4 * mid * mid - 3)))
-        return b * big * (sigma - turn)
-
-    return pd.Series([one(p, d) for p, d in zip(lat, degrees, strict=True)], dtype="float64")
+        out[rows] = np.where(sin_s != 0, b * big * (sigma - turn), 0.0)
+    return pd.Series(out)
 
 
 def geodesic(lat: Column, degrees: Column) -> Column:
@@ -149,9 +144,14 @@ def smallest_circle(points: list[tuple[float, float]]) -> tuple[float, float, fl
 
 
 def _circle(points: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([smallest_circle([(p["lon"], p["lat"]) for p in ps]) for ps in points], columns=["lon", "lat", "radius"], dtype="float64")
+    def one(ps: list | None) -> tuple[float, float, float]:
+        xy = [(p["lon"], p["lat"]) for p in ps] if ps is not None else []
+        xy = [p for p in xy if p[0] is not None and p[1] is not None and math.isfinite(p[0]) and math.isfinite(p[1])]
+        return smallest_circle(xy) if xy else (math.nan, math.nan, math.nan)
+
+    return pd.DataFrame([one(ps) for ps in points], columns=["lon", "lat", "radius"], dtype="float64")
 
 
 def bounding_circle(points: Column) -> Column:
-    """struct<lon, lat, radius> of the smallest circle around the points."""
+    """struct<lon, lat, radius> of the smallest circle around the points that have a place; NaN without any."""
     return F.pandas_udf(_circle, "lon double, lat double, radius double")(points)

@@ -196,6 +196,23 @@ def cell_of(lat: Column, lon: Column, res: int) -> Column:
     return run(lat.cast("double"), lon.cast("double"))
 
 
+def cells_of(lats: Column, lons: Column, res: int) -> Column:
+    """array<long>: the cells of resolution ``res`` that hold positions given as two arrays; null for positions that are not finite."""
+
+    @F.pandas_udf("array<long>")
+    def run(a: pd.Series, o: pd.Series) -> pd.Series:
+        sizes = [0 if x is None else len(x) for x in a]
+        flat = [np.concatenate([np.zeros(0), *(np.asarray(x, np.float64) for x in c if x is not None)]) for c in (a, o)]
+        ok = np.isfinite(flat[0]) & np.isfinite(flat[1])
+        cells = np.full(len(ok), -1, np.int64)
+        if ok.any():
+            cells[ok] = indexes(flat[0][ok], flat[1][ok], res)
+        parts = np.split(cells, np.cumsum(sizes)[:-1]) if len(sizes) else []
+        return pd.Series([None if x is None else [c if c >= 0 else None for c in p.tolist()] for x, p in zip(a, parts, strict=True)], index=a.index, dtype=object)
+
+    return run(lats, lons)
+
+
 # --- from cells to positions ---------------------------------------------------------------
 _STEPS = np.array([(0, 0), (-1, -1), (0, 1), (-1, 0), (1, 0), (0, -1), (1, 1)])  # along i and j, by digit
 _CORNERS = np.array([(1.0, 0.0), (-0.5, np.sqrt(3) / 2), (-0.5, -np.sqrt(3) / 2)])

@@ -53,10 +53,29 @@ def hstore(tags: Column) -> Column:
     return F.coalesce(F.array_join(pair, ","), F.lit("\\N"))
 
 
+def plain_text(text: Column) -> Column:
+    """What ``escaped`` text stands for; a backslash before any other character goes."""
+    kept = "\u0000"  # no text in a table has it
+    text = F.replace(text, F.lit("\\\\"), F.lit(kept))
+    for plain, out in ESCAPES[1:]:
+        text = F.replace(text, F.lit(out), F.lit(plain))
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("")), F.lit(kept), F.lit("\\"))
+
+
 def parse_hstore(text: Column) -> Column:
-    """Map of an hstore text without escapes in it."""
-    keys, values = (F.regexp_extract_all(text, F.lit(r'"([^"]*)"=>"([^"]*)"'), F.lit(i)) for i in (1, 2))
-    return F.map_from_arrays(keys, values)
+    """Map of an hstore text with escapes; the first of a repeated key counts; NULL values are null, \\N is null."""
+    pattern = F.lit(r'(?s)"((?:[^"\\]|\\.)*)"\s*=>\s*(?:"((?:[^"\\]|\\.)*)"|(NULL))')
+    keys, values, nulls = (F.regexp_extract_all(text, pattern, F.lit(i)) for i in (1, 2, 3))
+    pairs = F.transform(F.arrays_zip(keys.alias("k"), values.alias("v"), nulls.alias("n")), lambda e: F.struct(plain_text(e["k"]).alias("k"), F.when(e["n"] == "", plain_text(e["v"])).alias("v")))
+    all_keys = F.transform(pairs, lambda e: e["k"])
+    first = F.filter(pairs, lambda e, i: F.array_position(all_keys, e["k"]) == i + 1)
+    return F.when(text != "\\N", F.map_from_entries(first))
+
+
+def marked(tags: Column, key: str, value: str, when: Column) -> Column:
+    """The map with one more entry where the condition holds; a key that is there keeps its value."""
+    more = F.create_map(F.lit(key), F.lit(value))
+    return F.when(when & ~has(tags, key), F.coalesce(F.map_concat(tags, more), more)).otherwise(tags)
 
 
 def int_array(values: Column) -> Column:

@@ -29,10 +29,16 @@ def plan(cells: DataFrame, ratio: float = RATIO) -> DataFrame:
 
 
 def assigned(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows with part_id; keys outside every range, SEVERAL among them, go to the default part."""
-    bounded = F.broadcast(ranges.select(F.col("id").alias("part_id"), "lo", "hi"))  # at most one range a parent: under 6000 rows
-    out = rows.join(bounded, (F.col("h33") >= F.col("lo")) & (F.col("h33") < F.col("hi")), "left")
-    return out.withColumn("part_id", F.coalesce("part_id", F.lit(keys.SEVERAL))).drop("lo", "hi")
+    """Rows with part_id; keys outside every range, SEVERAL among them, go to the default part.
+
+    Ranges break at parents only, so a table of each parent's part, 8192 rows whatever the data, is
+    hash-joined on the rows' parents; no row is compared with a range.
+    """
+    bounded = ranges.select(F.col("id").alias("_part"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    first = rows.sparkSession.range(keys.LOWEST, -keys.LOWEST, 8).select(F.col("id").alias("_first"))
+    of = first.join(F.broadcast(bounded), (F.col("_first") >= F.col("_lo")) & (F.col("_first") < F.col("_hi"))).select(F.col("_first").cast("int").bitwiseOR(7).alias("_parent"), "_part", "_hi")
+    out = rows.join(F.broadcast(of), keys.parent(F.col("h33")) == F.col("_parent"), "left")
+    return out.withColumn("part_id", F.when(F.col("h33") < F.col("_hi"), F.col("_part")).otherwise(F.lit(keys.SEVERAL))).drop("_parent", "_part", "_hi")
 
 
 def parts_of(ranges: DataFrame, lo: int, hi: int) -> list[int]:

@@ -245,7 +245,7 @@ def nodes(entities: DataFrame) -> DataFrame:
 
 
 def ways(entities: DataFrame) -> DataFrame:
-    return entities.where("entity = 'W'").select("block_id", "id", "ts_millis", "node_ids", "entries")
+    return entities.where("entity = 'W'").select("block_id", "id", "ts_millis", "node_ids", "lats", "lons", "entries")
 
 
 def relations(entities: DataFrame) -> DataFrame:
