@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import geometry, grid, keys, tags
-from .operators import tables
+from .operators import areas, tables
 from .plans import partitions
-from .sources import fixtures
+from .sources import fixtures, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -31,7 +31,8 @@ nodes AS (
     c_mktsegment, c_name
   FROM n1)"""
 WAYS = f"""{NODES},
-w1 AS (SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos, l_partkey % (SELECT count(*) FROM customer) AS node_id FROM lineitem),
+w0 AS (SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos, l_partkey % (SELECT count(*) FROM customer) AS node_id FROM lineitem),
+w1 AS (SELECT * FROM w0 UNION ALL SELECT id, max(pos) + 1, arg_min(node_id, pos) FROM w0 WHERE id % 8 = 0 GROUP BY id HAVING count(*) > 1),
 pts AS (SELECT w1.id, pos, node_id, latitude AS lat, longitude AS lon, h33, h38 FROM w1 JOIN nodes n ON n.id = w1.node_id),
 w2 AS (SELECT id, count(*) AS n, list(node_id ORDER BY pos) AS point_ids, list(lat ORDER BY pos) AS lats, list(lon ORDER BY pos) AS lons, list(h33 ORDER BY pos) AS cells, count(DISTINCT h33) AS n_cells, count(DISTINCT (lat, lon)) AS n_places,
   min(lon) AS min_x, max(lon) AS max_x, min(lat) AS min_y, max(lat) AS max_y, min(h33) AS any_cell FROM pts GROUP BY id),
@@ -191,10 +192,25 @@ def a2_way_cell_stats(spark: SparkSession, d: str) -> DataFrame:
     return tables.way_stats(_ways(spark, d)).select(_STAT_COLUMNS)
 
 
-@query(f"WITH {RELATIONS} SELECT block_id, count(*) AS relations, coalesce(sum(m.n), 0) AS members, count(*) FILTER (WHERE multi) AS multipolygons FROM rel LEFT JOIN (SELECT relation_id, count(*) AS n FROM mem GROUP BY 1) m ON relation_id = id GROUP BY block_id")
+_TOTALS = f"""{WAYS}, {RELATIONS}, totals AS (SELECT block_id, CAST(sum(nodes) AS BIGINT) AS nodes, CAST(sum(ways) AS BIGINT) AS ways, CAST(sum(relations) AS BIGINT) AS relations, CAST(sum(members) AS BIGINT) AS members, CAST(sum(multipolygons) AS BIGINT) AS multipolygons FROM (
+  SELECT block_id, count(*) AS nodes, 0 AS ways, 0 AS relations, 0 AS members, 0 AS multipolygons FROM nodes GROUP BY 1
+  UNION ALL SELECT o_orderkey // 512, 0, count(*), 0, 0, 0 FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1
+  UNION ALL SELECT block_id, 0, 0, count(*), coalesce(sum(m.n), 0), count(*) FILTER (WHERE multi) FROM rel LEFT JOIN (SELECT relation_id, count(*) AS n FROM mem GROUP BY 1) m ON relation_id = id GROUP BY block_id) GROUP BY 1)"""
+
+
+def _totals(spark: SparkSession, d: str) -> DataFrame:
+    return tables.block_totals(fixtures.raw_nodes(spark, d), fixtures.raw_ways(spark, d), fixtures.raw_relations(spark, d))
+
+
+@query(f"WITH {_TOTALS} SELECT * FROM totals")
 def a3_a5_a6_block_totals(spark: SparkSession, d: str) -> DataFrame:
-    r = fixtures.raw_relations(spark, d).withColumn("tags", tags.tag_map(F.col("entries")))
-    return r.groupBy("block_id").agg(F.count("*").alias("relations"), F.sum(F.size("members")).alias("members"), F.count_if(F.col("tags")["type"] == "multipolygon").alias("multipolygons"))
+    return _totals(spark, d)
+
+
+@query(f"WITH {_TOTALS}, {_STATS.removeprefix(WAYS).lstrip(', ')} SELECT * FROM stats WHERE block_id NOT IN (SELECT block_id FROM totals WHERE relations > 0)")
+def f9_block_content(spark: SparkSession, d: str) -> DataFrame:
+    """Cell statistics of blocks without relations."""
+    return tables.block_content(_stats(spark, d), _totals(spark, d)).select(_STAT_COLUMNS)
 
 
 @query(f"WITH {_STATS} SELECT object_type, CAST(sum(count) AS BIGINT) AS entities, CAST(sum(size) AS BIGINT) AS bytes, max(last_modified) AS last_modified, count(DISTINCT block_id) AS blocks FROM stats GROUP BY object_type")
@@ -254,10 +270,10 @@ def f1_f2_skip_buildings_and_highways(spark: SparkSession, d: str) -> DataFrame:
     return fixtures.raw_ways(spark, d).where(~tables.unwanted(F.col("entries"), buildings=True, highways=True)).select("id")
 
 
-@query(f"WITH {WAYS} SELECT id, n FROM ways WHERE n > 0 AND building AND school ORDER BY id LIMIT 50")
+@query(f"WITH {WAYS} SELECT id, n FROM ways WHERE closed AND building AND school ORDER BY id LIMIT 50")
 def f7_p10_school_buildings(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("tags")
-    return _ways(spark, d).where((t["building"] == "school") | (t["building"].isNotNull() & (t["amenity"] == "school"))).orderBy("id").limit(50).select("id", F.size("points").cast("long").alias("n"))
+    return _ways(spark, d).where("closed").where((t["building"] == "school") | (t["building"].isNotNull() & (t["amenity"] == "school"))).orderBy("id").limit(50).select("id", F.size("points").cast("long").alias("n"))
 
 
 @query(f"WITH {NODES} SELECT id, coalesce(tags, '\\N') AS hstore FROM nodes")
@@ -358,6 +374,79 @@ def g1_g5_g14_wkb(spark: SparkSession, d: str) -> DataFrame:
     return _ways(spark, d).select("id", F.hex(geometry.line_wkb(F.col("points"))).alias("line"), F.hex(geometry.box_wkb(F.col("bbox"))).alias("box"))
 
 
+# --- cells of lines and areas -------------------------------------------------------------
+_NEAR, _REGION = 0.0002, 0.01  # shares of the fixtures' distances: within some cells, and over some coarse cells
+
+
+def _near(spark: SparkSession, d: str, share: float) -> DataFrame:
+    return _ways(spark, d).withColumn("points", fixtures.near(F.col("points"), share)).withColumns({"bbox": geometry.bbox(F.col("points")), "centre": geometry.centroid(F.col("points")), "closed": geometry.closed(F.col("points")), "valid": geometry.valid(F.col("points"))}).withColumn("extent", geometry.extent(F.col("bbox")))
+
+
+def _areas(spark: SparkSession, d: str) -> DataFrame:
+    """An area for each closed way of three corners or more."""
+    w = _near(spark, d, _REGION).where("closed and valid")
+    member = F.struct(F.col("id").alias("member_id"), F.lit("W").alias("member_type"), F.lit("outer").alias("member_role"))
+    return areas.assembled(w.select("id", F.create_map(F.lit("type"), F.lit("multipolygon")).alias("tags"), F.array(member).alias("members")), w)
+
+
+@query()
+def h5_a18_cell_radius(spark: SparkSession, d: str) -> DataFrame:
+    """Largest distance, in degrees, from the centre of the fine cell at each latitude of the first meridian to its corners."""
+    cell = spark.range(90).select(F.col("id").cast("double").alias("latitude"), grid.cell_of(F.col("id").cast("double"), F.lit(0.0), 8).alias("cell"))
+    at = cell.select("latitude", grid.centre_of(F.col("cell"), 8).alias("c"), grid.boundary_of(F.col("cell"), 8).alias("ring"))
+    far = F.transform("ring", lambda p: F.sqrt((p["lat"] - F.col("c.lat")) * (p["lat"] - F.col("c.lat")) + (p["lon"] - F.col("c.lon")) * (p["lon"] - F.col("c.lon"))))
+    return at.select("latitude", F.array_max(far).alias("radius"))
+
+
+@query()
+def h6_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Cells on the line from each way's first point to its last."""
+    ends = _near(spark, d, _NEAR).select("id", *[grid.cell_of(p["lat"], p["lon"], 8).alias(c) for c, p in (("a", F.element_at("points", 1)), ("b", F.element_at("points", -1)))])
+    return ends.select("id", F.transform(grid.path_of(F.col("a"), F.col("b"), 8), keys.fine).alias("path"))
+
+
+@query()
+def h7_h12_way_table(spark: SparkSession, d: str) -> DataFrame:
+    """The ways table with every column, fine cells of lines and of areas among them."""
+    return tables.way_table(_near(spark, d, _NEAR))
+
+
+@query()
+def j3_ways_of_several_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Ways over several coarse cells with the cells that their line meets."""
+    w = _near(spark, d, _REGION).where("valid").select("id", F.lit(keys.SEVERAL).cast("smallint").alias("h33"), geometry.line_wkb(F.col("points")).alias("lineStringWkb"))
+    return areas.ways_of_several(w, areas.cell_bounds(spark)).select("id", "h3_3_multi_regions")
+
+
+@query()
+def j2_assembled_areas(spark: SparkSession, d: str) -> DataFrame:
+    return _areas(spark, d).select("id", F.hex("wkb").alias("wkb"))
+
+
+@query()
+def j4_j6_g9_g11_multipolygons(spark: SparkSession, d: str) -> DataFrame:
+    return areas.multipolygons(_areas(spark, d), areas.cell_bounds(spark))
+
+
+@query()
+def sc9_cell_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return areas.cell_bounds(spark)
+
+
+@query()
+def se1_global_view_of_all(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes, ways and areas in one view, with scale and shapes."""
+    bounds = areas.cell_bounds(spark)
+    return areas.global_view(tables.node_table(_nodes(spark, d)), tables.way_table(_near(spark, d, _NEAR)), areas.multipolygons(_areas(spark, d), bounds))
+
+
+@query()
+def sk4_p4_way_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the ways' text table; lines that are not valid carry a tag."""
+    w = _near(spark, d, _NEAR)
+    return sinks.way_lines(tables.way_table(w).join(w.select("id", "block_id"), "id")).select("h33", "id", "value")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

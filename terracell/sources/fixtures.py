@@ -41,7 +41,7 @@ def raw_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ways with ordered node ids; orders without a line have no points and are left out."""
+    """Ways with ordered node ids, every eighth closed; orders without a line have no points and are left out."""
     n = read(spark, sf_dir, "customer").agg(F.count("*").alias("n_nodes"))
     place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     lines = read(spark, sf_dir, "lineitem").join(F.broadcast(n)).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(place.alias("at"), (F.col("l_partkey") % F.col("n_nodes")).alias("node")))).alias("x"))
@@ -49,7 +49,7 @@ def raw_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = entries((status == "F", "building", F.lit("yes")), (status == "P", "Building", F.lit("yes")), (kind.startswith("1"), "highway", kind), (F.col("o_custkey") % 11 == 0, "amenity", F.lit("school")))
     millis = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', cast(o_orderdate as timestamp_ntz)) * 1000L")
     return read(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.floor(F.col("o_orderkey") / BLOCK).alias("block_id"), F.col("o_orderkey").alias("id"), millis.alias("ts_millis"), F.col("x.node").alias("node_ids"), tags.alias("entries")
+        F.floor(F.col("o_orderkey") / BLOCK).alias("block_id"), F.col("o_orderkey").alias("id"), millis.alias("ts_millis"), F.when((F.col("o_orderkey") % 8 == 0) & (F.size("x") > 1), F.concat("x.node", F.slice("x.node", 1, 1))).otherwise(F.col("x.node")).alias("node_ids"), tags.alias("entries")
     )
 
 
@@ -62,3 +62,9 @@ def raw_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     tags = entries((k % 3 == 0, "type", F.lit("multipolygon")), (k % 3 == 1, "type", F.lit("route")), (None, "name", F.col("p_name")))
     return read(spark, sf_dir, "part").join(lines, k == F.col("l_partkey"), "left").select(F.floor(k / BLOCK).alias("block_id"), k.alias("id"), tags.alias("entries"), F.coalesce("x.member", F.array().cast("array<struct<member_id:bigint,member_type:string,member_role:string>>")).alias("members"))
+
+
+def near(points: Column, share: float) -> Column:
+    """Points drawn together around a place on land, to ``share`` of their distances."""
+    move = lambda p: F.struct(p["node_id"].alias("node_id"), (p["lat"] * share + 13.75).alias("lat"), (p["lon"] * share + 100.5).alias("lon"))
+    return F.transform(points, move)

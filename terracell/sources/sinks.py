@@ -92,8 +92,16 @@ def read_arrow(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 # --- text tables ---------------------------------------------------------------------------
 def cell_text(value: Column) -> Column:
-    """A text cell: escaped, null and empty as \\N."""
-    return F.when(value.isNull() | (value == ""), F.lit(NULL)).otherwise(tags.escaped(value))
+    """A text cell: escaped and in quotes, null and empty as \\N."""
+    return F.when(value.isNull() | (value == ""), F.lit(NULL)).otherwise(F.concat(F.lit('"'), tags.escaped(value, True), F.lit('"')))
+
+
+def map_text(value: Column) -> Column:
+    """A cell of tags: hstore text whose quotes and backslashes are escaped once more for the cell, in quotes."""
+    twice = lambda t: tags.escaped(F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), True)
+    text = lambda t: F.when(t.isNull(), F.lit("NULL")).otherwise(F.concat(F.lit('\\"'), twice(t), F.lit('\\"')))
+    pairs = F.transform(F.map_entries(value), lambda e: F.concat(text(e["key"]), F.lit("=>"), text(e["value"])))
+    return F.coalesce(F.concat(F.lit('"'), F.array_join(pairs, ","), F.lit('"')), F.lit(NULL))
 
 
 def plain(value: Column) -> Column:
@@ -116,16 +124,39 @@ def point_ewkb(lon: Column, lat: Column) -> Column:
 
 def node_lines(nodes: DataFrame) -> DataFrame:
     """(h33, block_id, id, value): h33, h38, id, point, tags."""
-    value = F.concat_ws("\t", plain(F.col("h33")), plain(F.col("h38")), plain(F.col("id")), F.coalesce(point_ewkb(F.col("longitude"), F.col("latitude")), F.lit(NULL)), tags.hstore(F.col("tags")))
+    value = F.concat_ws("\t", plain(F.col("h33")), plain(F.col("h38")), plain(F.col("id")), F.coalesce(point_ewkb(F.col("longitude"), F.col("latitude")), F.lit(NULL)), map_text(F.col("tags")))
     return nodes.select("h33", "block_id", "id", value.alias("value"))
 
 
+def shape_ewkb(wkb: Column) -> Column:
+    """Hexadecimal EWKB in 4326 of little-endian WKB: the flag and number of the reference system go behind the type."""
+    text = F.hex(wkb)
+    return F.concat(F.substring(text, 1, 8), F.lit("20"), F.lit("E6100000"), F.substring(text, 11, 1 << 30))
+
+
+def way_lines(way_rows: DataFrame) -> DataFrame:
+    """(h33, block_id, id, value) of the ways table with block_id: keys, id, flags, scale, centre, box, line, points, cells, tags.
+
+    Flags here ignore the case of keys, and lines that are not valid carry a tag that says so.
+    """
+    flag = lambda c: F.when(c, F.lit("t")).otherwise(F.lit("f"))
+    has = lambda key: flag(tags.has_any_case(F.col("tags"), key))
+    cells = F.when(F.size("h38Indexes") > 0, tags.int_array(F.col("h38Indexes"))).otherwise(F.lit(NULL))
+    noted = tags.marked(F.col("tags"), "is.line_non_valid", "true", ~F.col("valid"))  # fixed value: that tag
+    value = F.concat_ws(
+        "\t", plain(F.col("h33")), plain(F.col("h38")), plain(F.col("id")), flag(F.col("closed")), has("building"), has("highway"), plain(F.col("scale")), F.coalesce(point_ewkb(F.col("longitude"), F.col("latitude")), F.lit(NULL)),
+        shape_ewkb(F.col("bboxWkb")), shape_ewkb(F.col("lineStringWkb")), tags.int_array(F.col("pointIdxs")), cells, map_text(noted),
+    )
+    return way_rows.select("h33", "block_id", "id", value.alias("value"))
+
+
 def relation_lines(relations: DataFrame) -> DataFrame:
-    return relations.select("id", F.concat_ws("\t", plain(F.col("id")), tags.hstore(F.col("tags"))).alias("value"))
+    return relations.select("id", F.concat_ws("\t", plain(F.col("id")), map_text(F.col("tags"))).alias("value"))
 
 
 def member_lines(members: DataFrame) -> DataFrame:
-    value = F.concat_ws("\t", plain(F.col("relation_id")), plain(F.col("member_id")), plain(F.col("sequence_id")), plain(F.col("member_type")), cell_text(F.col("member_role")))
+    """relation, member, kind, role, place."""
+    value = F.concat_ws("\t", plain(F.col("relation_id")), plain(F.col("member_id")), plain(F.col("member_type")), cell_text(F.col("member_role")), plain(F.col("sequence_id")))
     return members.select(F.col("relation_id").alias("id"), value.alias("value"))
 
 
@@ -140,8 +171,36 @@ def statistics_lines(stats: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def read_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A tab-separated table with \\N for null; compressed files by their suffix."""
-    return spark.read.schema(schema).option("sep", "\t").option("quote", "").option("escape", "\\").option("nullValue", NULL).csv(path)
+    """A tab-separated table with \\N for null and quoted cells; compressed files by their suffix."""
+    return spark.read.schema(schema).option("sep", "\t").option("quote", '"').option("escape", "\\").option("nullValue", NULL).csv(path)
+
+
+# The columns of the text statistics.
+RUN_COLUMNS = ["multipolygonCount", "dataProcessingTime", "pbfSplitTime", "addLocationsToWaysTime", "multipolygonExportTime", "splitMultipolygonByPartsTime", "totalTime"]
+BLOCK_COLUMNS = ["id", "nodeCount", "wayCount", "relationCount", "relationMembersCount", "multipolygonCount", "processingTime", "waitingForSaveTime", "saveTime", "threadTime", "threadStart"]
+CONTENT_COLUMNS = ["object_type", "block_id", "h33", "count", "size", "min_id", "max_id", "last_modified"]
+EXPORT = "wkb_hex string, kind string, id long, tags string"  # fixed value: exported areas
+
+
+def read_exported(spark: SparkSession, path: str) -> DataFrame:
+    """(wkb_hex, kind, id, tags) of exported areas: no quotes, backslashes escape."""
+    return spark.read.schema(EXPORT).option("sep", "\t").option("quote", "").option("nullValue", NULL).csv(path)
+
+
+def catalogued(rows: DataFrame, name: str, by: str | None = None, comments: dict[str, str] | None = None, not_null: tuple[str, ...] = ()) -> None:
+    """A table of the catalog: ordered, commented, with statistics; columns that must not be null are checked first."""
+    spark = rows.sparkSession
+    if not_null:
+        broken = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null]).first().asDict()
+        if any(broken.values()):
+            raise ValueError(f"{name}: nulls in {sorted(c for c, n in broken.items() if n)}")
+    order = [c for c in ("h3_3", "h33", "h38", "id") if c in rows.columns and c != by]
+    out = (dealt(rows, by).sortWithinPartitions(by, *order) if by else rows.sortWithinPartitions(*order) if order else rows).write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).saveAsTable(name)
+    for column, text in (comments or {}).items():
+        quoted = text.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} CHANGE COLUMN {column} COMMENT '{quoted}'")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
 
 
 def areas(exported: DataFrame) -> DataFrame:

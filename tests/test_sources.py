@@ -6,6 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from terracell.functions import tags
 from terracell.operators import tables
 from terracell.sources import fixtures, pbf, sinks
 
@@ -112,9 +113,92 @@ def test_text_by_cell(spark, tmp_path):
     r, n = back.orderBy("id").first(), nodes.orderBy("id").first()
     assert struct.unpack("<BIIdd", bytes.fromhex(r.point)) == (1, 0x20000001, 4326, n.longitude, n.latitude)
     members = spark.createDataFrame([(1, 2, 0, "N", None), (1, 3, 1, "W", "a\tb")], "relation_id long, member_id long, sequence_id int, member_type string, member_role string")
-    assert [r.value for r in sinks.member_lines(members).collect()] == ["1\t2\t0\tN\t\\N", "1\t3\t1\tW\ta\\tb"]
+    assert [r.value for r in sinks.member_lines(members).collect()] == ["1\t2\tN\t\\N\t0", "1\t3\tW\t\"a\\tb\"\t1"]  # role in quotes, place last
 
 
 def test_areas(spark):
     rows = spark.createDataFrame([("relation", "4", "0101", '"a"=>"b"'), ("way", "5", "00", "")], "kind string, id string, wkb_hex string, tags string")
     assert [tuple(r) for r in sinks.areas(rows).collect()] == [(4, bytearray(b"\x01\x01"), '{"a":"b"}')]
+
+
+def test_hstore_round_trip(spark):
+    odd = {'a"b\\c': "x\ny\tz", "k": "\\n", "e": "", "\U0001f600": '=>"', "v": "\\"}
+    row = spark.createDataFrame([(odd,)], "m map<string,string>").select(tags.parse_hstore(tags.hstore(F.col("m"))).alias("m")).first()
+    assert row.m == odd
+    texts = [('"k"=>"1","a"=>NULL,"k"=>"2"', {"k": "1", "a": None}), ("", {}), ("\\N", None), (None, None)]
+    got = spark.createDataFrame(texts, "t string, m map<string,string>").select(tags.parse_hstore(F.col("t")).alias("got"), "m").collect()
+    assert all(r.got == r.m for r in got)
+
+
+def test_way_lines(spark):
+    ways = spark.createDataFrame([(7, 3, [(1, 1.0, 2.0)], [("Building", "yes"), ("n", 'a"b\\c\n')]), (8, 3, [(1, 1.0, 2.0), (2, 1.001, 2.001), (1, 1.0, 2.0)], [])], "id long, block_id long, points array<struct<node_id:long,lat:double,lon:double>>, entries array<struct<k:string,v:string>>")
+    rows = ways.select("id", "block_id", F.lit(0).cast("long").alias("ts_millis"), "entries", F.col("points.node_id").alias("node_ids"), F.col("points.lat").alias("lats"), F.col("points.lon").alias("lons"))
+    made = tables.ways(tables.located_in_file(rows))
+    lines = {r.id: r.value.split("\t") for r in sinks.way_lines(tables.way_table(made).join(made.select("id", "block_id"), "id")).collect()}
+    assert lines[7][2:6] == ["7", "f", "t", "f"] and lines[7][10:12] == ["{1}", "\\N"]
+    assert lines[7][12] == r'"\"Building\"=>\"yes\",\"n\"=>\"a\\\"b\\\\c\n\",\"is.line_non_valid\"=>\"true\""'
+    assert lines[8][3:6] == ["t", "f", "f"] and lines[8][10] == "{1,2,1}" and lines[8][12] == "\\N" and float(lines[8][6]) > 70
+    assert struct.unpack("<BIII", bytes.fromhex(lines[8][9])[:13]) == (1, 0x20000002, 4326, 3)
+
+
+@pytest.mark.parametrize("form", ["PARQUET", "ARROW_IPC"])
+def test_from_file_to_tables(spark, file, tmp_path, form):
+    from terracell import transform
+
+    out = f"{tmp_path}/out-{form}"
+    took = transform.main(["-source_pbf", file, "-target", out, "-arrow_format", form, "-preserve_all_nodes"], spark)
+    assert took["total"] > 0
+    back = (lambda name, schema: spark.read.parquet(f"{out}/arrow/{name}")) if form == "PARQUET" else (lambda name, schema: sinks.read_arrow(spark, f"{out}/arrow/{name}", schema))
+    ways = transform.read(spark, file).ways
+    schema = tables.way_table(ways).schema.simpleString().removeprefix("struct<").removesuffix(">")
+    way = back("ways", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tables.way_table(ways).schema)).first()
+    assert schema and way.id == 77 and way.pointIdxs == [10, 7, 10] and way.closed and way.tags == {"name": "Café"}
+    assert way.latitude == pytest.approx(-5e-6) and way.scale > 0 and (way.bboxMinX, way.bboxMaxY) == pytest.approx((-3e-5, 1e-5))
+    nodes = back("nodes", "id long, h33 smallint, h38 int, latitude double, longitude double, tags map<string,string>")
+    assert sorted({r.id for r in nodes.collect()}) == [-3, 7, 10]
+    text = spark.read.text(f"{out}/relations/members").collect()
+    assert {r.value for r in text} == {'5\t7\tN\t"stop"\t0', "5\t77\tW\t\\N\t1"}
+    import glob
+
+    script = open(glob.glob(f"{out}/sql/ways_import_000.sql")[0]).read()
+    assert script.startswith("SET application_name = 'psql sql/ways_import_000.sql';") and "ATTACH PARTITION" in script and script.endswith("COMMIT;")
+    with pytest.raises(FileExistsError):
+        transform.run(spark, file, out)
+    skipped = transform.read(spark, file, transform.Options(skip_buildings=True)).nodes
+    assert sorted({r.id for r in skipped.collect()}) == [7, 10]  # tagged, or in a relation
+    with pytest.raises(ValueError, match="nothing to write"):
+        transform.run(spark, file, f"{out}2", transform.Options(result_in_tsv=False))
+
+
+def test_session_functions(spark):
+    from terracell.functions import geometry, session
+
+    session.register(spark)
+    row = spark.sql("select to_short_h3_8(590282369378811903) a, to_short_h3_3(to_full_from_short_h3_3(cast(-31636 as smallint))) b, to_ha_arrays_text('1,2') c, to_short_h3_3(null) d, h3_latlng_to_cell(37.3615593D, -122.0553238D, 5) e").first()
+    assert (row.a, row.b, row.c, row.d, row.e) == (296419327, -31636, "1|2", None, 0x85283473FFFFFFF)
+    row = spark.sql("select size(h3_grid_disk(599686042433355775, 2)) n, h3_grid_path(599686042433355775, 599686042433355775) p, geo_geodesic_m(0D, 1D) m").first()
+    assert row.n == 19 and row.p == [599686042433355775] and abs(row.m - geometry.MAJOR * 3.141592653589793 / 180) < 1e-6
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    try:
+        line = spark.range(1).select(geometry.line_wkb(F.expr("array(named_struct('lat', 1D, 'lon', 2D), named_struct('lat', 3D, 'lon', 4D))")).alias("w"))
+        assert line.select(F.call_function("st_srid", session.geometry_type(F.col("w")))).first()[0] == 4326
+    finally:
+        spark.conf.unset("spark.sql.geospatial.enabled")
+
+
+def test_exported_areas_are_read(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text('0101\trelation\t4\t"a"=>"b"\n00\tway\t5\t\\N\n')
+    assert [tuple(r) for r in sinks.areas(sinks.read_exported(spark, str(tmp_path / "a.tsv"))).collect()] == [(4, bytearray(b"\x01\x01"), '{"a":"b"}')]
+
+
+def test_catalogued(spark, tmp_path):
+    rows = spark.createDataFrame([(2, 1, "a"), (1, 1, None)], "id long, h33 int, t string")
+    spark.sql("drop table if exists terracell_t")
+    try:
+        sinks.catalogued(rows, "terracell_t", comments={"t": "what it's named"}, not_null=("id",))
+        assert spark.table("terracell_t").count() == 2
+        assert "what it's named" in [r["comment"] for r in spark.sql("describe terracell_t").collect()]
+        with pytest.raises(ValueError, match="nulls"):
+            sinks.catalogued(rows, "terracell_u", not_null=("t",))
+    finally:
+        spark.sql("drop table if exists terracell_t")
