@@ -412,24 +412,27 @@ def _nearest(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (rq + rs).astype(np.int64), rs.astype(np.int64)
 
 
-def path(a: int, b: int, res: int) -> list[int]:
-    """Cells from ``a`` to ``b``, both included, along the line between them on the face of ``a``.
+def paths(a: np.ndarray, b: np.ndarray, res: int) -> list[list[int]]:
+    """For each pair the cells from ``a`` to ``b``, both included, along the line between them on the face of ``a``.
 
     Over an edge of that face, or past a pentagon, steps may skip a cell; cells that are the same give one.
     """
-    ends = np.array([a, b])
-    if a == b:
-        return [int(a)]
-    face, i, j = _seen_from(ends[:1], res)
-    at, to = (i[0], j[0]), tuple(x[0] for x in _nearest(*_on_face(face, *centres(ends[1:], res), res)))
-    di, dj = to[0] - at[0], to[1] - at[1]
-    n = int(max(abs(di), abs(dj), abs(di - dj)))
-    if n <= 1:
-        return [int(a), int(b)]
-    t = np.arange(1, n) / n
-    x, y = _nearest(at[0] + di * t + 1e-6, at[1] + dj * t + 2e-6)
-    between = indexes(*_degrees(_points(np.repeat(face, n - 1), _shares(x, y, res))), res)
-    return list(dict.fromkeys([int(a), *between.tolist(), int(b)]))
+    if not len(a):
+        return []
+    face, i, j = _seen_from(a, res)
+    x, y = _nearest(*_on_face(face, *centres(b, res), res))
+    di, dj = x - i, y - j
+    n = np.where(a == b, 0, np.maximum(np.maximum(abs(di), abs(dj)), abs(di - dj)))
+    between = np.maximum(n - 1, 0)
+    row, end = np.repeat(np.arange(len(a)), between), np.cumsum(between)
+    t = (np.arange(len(row)) - (end - between)[row] + 1) / np.maximum(n[row], 1)
+    at = _nearest(i[row] + di[row] * t + 1e-6, j[row] + dj[row] * t + 2e-6)
+    cells = indexes(*_degrees(_points(face[row], _shares(*at, res))), res).tolist() if len(row) else []
+    return [list(dict.fromkeys([x, *cells[e - k : e], y])) for x, y, k, e in zip(a.tolist(), b.tolist(), between.tolist(), end.tolist(), strict=True)]
+
+
+def path(a: int, b: int, res: int) -> list[int]:
+    return paths(np.array([a]), np.array([b]), res)[0]
 
 
 def inside(lat: np.ndarray, lon: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
@@ -466,6 +469,49 @@ def cover(rings: list[np.ndarray], res: int) -> list[int]:
     return sorted(set(found))
 
 
+_TOGETHER = 200_000  # candidates of polygons that are looked at in one go
+
+
+def covers(polygons: list[list[np.ndarray]], res: int) -> list[list[int]]:
+    """``cover`` of many polygons, small ones together."""
+    out: list[list[int] | None] = [None] * len(polygons)
+    held: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+
+    def flush() -> None:
+        if not held:
+            return
+        face = np.concatenate([np.full(len(i), f) for _, f, i, _ in held])
+        lat, lon = _degrees(_points(face, _shares(np.concatenate([i for _, _, i, _ in held]), np.concatenate([j for _, _, _, j in held]), res)))
+        edges = np.cumsum([0, *(len(i) for _, _, i, _ in held)])
+        ok = np.concatenate([inside(lat[x:y], lon[x:y], polygons[k]) for (k, *_), x, y in zip(held, edges, edges[1:], strict=False)])
+        which = np.repeat([k for k, *_ in held], np.diff(edges))[ok]
+        found = pd.DataFrame({"k": which, "cell": indexes(lat[ok], lon[ok], res) if ok.any() else np.zeros(0, np.int64)}).drop_duplicates()
+        if len(found):
+            found["lat"], found["lon"] = centres(found["cell"].to_numpy(), res)
+        groups = {k: rows for k, rows in found.groupby("k")}
+        for k, *_ in held:
+            rows = groups.get(k)
+            out[k] = [] if rows is None else sorted(rows["cell"].to_numpy()[inside(rows["lat"].to_numpy(), rows["lon"].to_numpy(), polygons[k])].tolist())
+        held.clear()
+
+    size = 0
+    for k, rings in enumerate(polygons):
+        outer = rings[0]
+        face = int((_xyz(*np.radians((outer.min(axis=0) + outer.max(axis=0)) / 2)) @ _grid().centres.T).argmax())
+        i, j = _on_face(np.full(len(outer), face), outer[:, 0], outer[:, 1], res)
+        spans = [np.arange(int(np.floor(v.min())) - 2, int(np.ceil(v.max())) + 3) for v in (i, j)]
+        if len(spans[0]) * len(spans[1]) > _TOGETHER:
+            out[k] = cover(rings, res)
+            continue
+        held.append((k, face, np.repeat(spans[0], len(spans[1])), np.tile(spans[1], len(spans[0]))))
+        size += len(held[-1][2])
+        if size > _TOGETHER:
+            flush()
+            size = 0
+    flush()
+    return out  # type: ignore[return-value]
+
+
 def boundary_of(cell: Column, res: int) -> Column:
     """array<struct<lat, lon>>: the corners of a cell of resolution ``res``; null for null."""
 
@@ -484,7 +530,10 @@ def path_of(a: Column, b: Column, res: int) -> Column:
 
     @F.pandas_udf("array<long>")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(p) or pd.isna(q) else path(int(p), int(q), res) for p, q in zip(x, y, strict=True)], index=x.index, dtype=object)
+        out, ok = pd.Series([None] * len(x), index=x.index, dtype=object), (x.notna() & y.notna()).to_numpy()
+        if ok.any():
+            out[ok] = pd.Series(paths(x[ok].to_numpy(np.int64), y[ok].to_numpy(np.int64), res), index=x.index[ok], dtype=object)
+        return out
 
     return run(a, b)
 
@@ -506,19 +555,26 @@ def regions_of(points: Column, lat: Column, lon: Column, metres: Column, closed:
         flat = np.array([(p["lat"], p["lon"]) for k in want for p in ps.iloc[k]], np.float64)
         cells, at = indexes(flat[:, 0], flat[:, 1], res), 0
         middle = indexes(a.iloc[want].to_numpy(np.float64), o.iloc[want].to_numpy(np.float64), res)
+        found: dict[int, set[int]] = {}
+        pairs, rings = [], []
         for k, n, centre in zip(want, sizes, middle.tolist(), strict=True):
             own, ring = cells[at : at + n].tolist(), flat[at : at + n]
             at += n
             if all(x == centre for x in own):
                 continue
-            found = set(own)
-            for x, y in zip(own, own[1:], strict=False):
-                if x != y:
-                    found |= set(path(x, y, res))
+            found[k] = set(own)
+            pairs += [(k, x, y) for x, y in dict.fromkeys(zip(own, own[1:], strict=False)) if x != y]
             if c.iloc[k]:
-                found |= set(cover([ring], res))
-            if found != {centre}:
-                out.iloc[k] = sorted(found)
+                rings.append((k, [ring]))
+        of, x, y = (np.array(v, np.int64) for v in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
+        for k, more in zip(of.tolist(), paths(x, y, res), strict=True):
+            found[k] |= set(more)
+        for (k, _), more in zip(rings, covers([r for _, r in rings], res), strict=True):
+            found[k] |= set(more)
+        centre_of_ = dict(zip(want, middle.tolist(), strict=True))
+        for k, x in found.items():
+            if x != {centre_of_[k]}:
+                out.iloc[k] = sorted(x)
         return out
 
     return run(points, lat, lon, metres, closed)

@@ -124,24 +124,37 @@ def turned(ring: Ring) -> list[Ring]:
     return [east, east - (360, 0)]
 
 
-def candidates(kind: int, shape: Shape, res: int = 3, step: float = 0.25) -> set[int]:
-    """Cells that may meet a shape: of points along its edges, with their neighbours, and cells with their centre inside."""
-    dots = []
-    for rings in shape:
-        for ring in rings:
-            dots.append(ring)
-            for a, b in zip(ring[:-1], ring[1:], strict=True):
-                n = int(np.ceil(np.abs(b - a).max() / step))
-                if n > 1:
-                    dots.append(a + (b - a) * np.arange(1, n)[:, None] / n)
-    xy = np.concatenate(dots)
-    cells = np.unique(grid.indexes(np.clip(xy[:, 1], -90, 90), xy[:, 0], res))
-    around = np.unique(grid.neighbours(cells, res))
-    found = set(cells.tolist()) | set(around[around >= 0].tolist())
-    if kind in (POLYGON, MULTIPOLYGON):
+def candidates(found: list[tuple[int, Shape]], res: int = 3, step: float = 0.25) -> list[list[int]]:
+    """Cells that may meet each shape: of points along its edges, with their neighbours, and cells with their centre inside."""
+    if not found:
+        return []
+    dots, sizes, polygons, of = [], [], [], []
+    for k, (kind, shape) in enumerate(found):
+        n = 0
         for rings in shape:
-            found |= set(grid.cover([r[:, ::-1] for r in rings], res))
-    return found
+            for ring in rings:
+                along = [ring]
+                for a, b in zip(ring[:-1], ring[1:], strict=True):
+                    m = int(np.ceil(np.abs(b - a).max() / step))
+                    if m > 1:
+                        along.append(a + (b - a) * np.arange(1, m)[:, None] / m)
+                dots += along
+                n += sum(map(len, along))
+            if kind in (POLYGON, MULTIPOLYGON):
+                polygons.append([r[:, ::-1] for r in rings])
+                of.append(k)
+        sizes.append(n)
+    xy = np.concatenate(dots)
+    rows = pd.DataFrame({"k": np.repeat(np.arange(len(found)), sizes), "cell": grid.indexes(np.clip(xy[:, 1], -90, 90), xy[:, 0], res)}).drop_duplicates()
+    cells = rows["cell"].unique()
+    around = dict(zip(cells.tolist(), grid.neighbours(cells, res).tolist(), strict=True))
+    out: list[set[int]] = [set() for _ in found]
+    for k, cell in zip(rows["k"].tolist(), rows["cell"].tolist(), strict=True):
+        out[k].add(cell)
+        out[k].update(c for c in around[cell] if c >= 0)
+    for k, more in zip(of, grid.covers(polygons, res), strict=True):
+        out[k].update(more)
+    return [sorted(x) for x in out]
 
 
 def candidate_cells(wkb: Column) -> Column:
@@ -149,7 +162,10 @@ def candidate_cells(wkb: Column) -> Column:
 
     @F.pandas_udf("array<long>")
     def run(data: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else sorted(candidates(*read_wkb(bytes(d)))) for d in data], index=data.index, dtype=object)
+        out, ok = pd.Series([None] * len(data), index=data.index, dtype=object), data.notna().to_numpy()
+        if ok.any():
+            out[ok] = pd.Series(candidates([read_wkb(bytes(d)) for d in data[ok]]), index=data.index[ok], dtype=object)
+        return out
 
     return run(wkb)
 
@@ -159,15 +175,19 @@ def intersects(wkb: Column, area: Column) -> Column:
 
     @F.pandas_udf("boolean")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        last: tuple[bytes, tuple[int, Shape]] | None = None
+        shapes_: dict[bytes, tuple[int, Shape]] = {}
+        areas_: dict[bytes, list[Ring]] = {}
         out = []
         for x, y in zip(a, b, strict=True):
             if x is None or y is None:
                 out.append(None)
                 continue
-            if last is None or last[0] != x:
-                last = (x, read_wkb(bytes(x)))
-            out.append(any(meet(*last[1], ring) for rings in read_wkb(bytes(y))[1] for ring in turned(rings[0])))
+            x, y = bytes(x), bytes(y)
+            if x not in shapes_:  # a batch's rows repeat both sides
+                shapes_[x] = read_wkb(x)
+            if y not in areas_:
+                areas_[y] = [part for rings in read_wkb(y)[1] for part in turned(rings[0])]
+            out.append(any(meet(*shapes_[x], ring) for ring in areas_[y]))
         return pd.Series(out, index=a.index, dtype=object)
 
     return run(wkb, area)

@@ -379,7 +379,8 @@ _NEAR, _REGION = 0.0002, 0.01  # shares of the fixtures' distances: within some
 
 
 def _near(spark: SparkSession, d: str, share: float) -> DataFrame:
-    return _ways(spark, d).withColumn("points", fixtures.near(F.col("points"), share)).withColumns({"bbox": geometry.bbox(F.col("points")), "centre": geometry.centroid(F.col("points")), "closed": geometry.closed(F.col("points")), "valid": geometry.valid(F.col("points"))}).withColumn("extent", geometry.extent(F.col("bbox")))
+    rows = _ways(spark, d).repartition(spark.sparkContext.defaultParallelism, "id")  # kernels take long for few bytes
+    return rows.withColumn("points", fixtures.near(F.col("points"), share)).withColumns({"bbox": geometry.bbox(F.col("points")), "centre": geometry.centroid(F.col("points")), "closed": geometry.closed(F.col("points")), "valid": geometry.valid(F.col("points"))}).withColumn("extent", geometry.extent(F.col("bbox")))
 
 
 def _areas(spark: SparkSession, d: str) -> DataFrame:
