@@ -16,7 +16,9 @@ share a fingerprint, hence a group; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice, repeat
 
 import numpy as np
@@ -182,13 +184,89 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, s
     return cut(whole.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long"))
 
 
+FEW, TILE, TILE_SHINGLES, STRIP = 16, 128, 1 << 20, 2048
+
+
+def joined(sets: list[np.ndarray], of: np.ndarray, similarity: float) -> np.ndarray:
+    """For each of the sets the number of the first one that it is linked to, over any path of links
+    (Jaccard of at least ``similarity``) between sets of different ``of``; all pairs are held exactly."""
+    n = len(sets)
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
+    known, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[at] > 1  # what one set alone has counts in its size only
+    column = (np.cumsum(count > 1) - 1)[at[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[shared][order], column[order]
+    both, width = np.zeros((n, n), np.float64), int((count > 1).sum())
+    for low in range(0, width, STRIP):
+        a, b = np.searchsorted(column, (low, low + STRIP))
+        has = np.zeros((n, min(STRIP, width - low)), np.float32)
+        has[row[a:b], column[a:b] - low] = 1
+        both += has @ has.T
+    size = np.array([len(x) for x in sets], np.float64)
+    linked = (both >= similarity * (size[:, None] + size - both) - 1e-9) & (of[:, None] != of)
+    np.fill_diagonal(linked, True)
+    first = np.arange(n)
+    while True:
+        least = np.where(linked, first, n).min(axis=1)
+        if (least == first).all():
+            return first
+        first = least
+
+
+def tiled(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float, seed: int) -> DataFrame:
+    """Links (a, b) that join what exact similarity joins among the ``members`` (band, key, node, of) of large groups.
+
+    A group of one (band, key) is cut by size, since sets linked differ in size by no more than the
+    similarity, and then into blocks of at most about 128 sets and 2^20 shingles. Those outside
+    the group's largest component meet each other's blocks and that component's, two blocks a
+    task, which counts common shingles by a product of incidence matrices. A task gives
+    one link for each set that something joins, never the pairs; a member travels once for every block it
+    meets, a 128th of its pairs.
+    """
+    ratio = math.log(1 / similarity) * (1 + 1e-9) if similarity > 0 else math.inf
+    level = F.floor(F.log("size") / F.lit(ratio)).cast("int") if similarity < 1 else F.col("size")
+    sized = members.join(nodes.select("node", "size"), "node").withColumn("level", level)
+    # sets that can be linked lie in one level or in neighbouring ones, and meet in the lower of the two
+    sized = sized.withColumn("own", F.col("level")).withColumn("level", F.explode(F.array("level", F.col("level") - 1) if similarity < 1 else F.array("level")))
+    group = ["band", "key", "level"]
+    parts = sized.groupBy(*group, "of").agg(F.count("*").alias("n"), F.max("size").alias("s"), F.min("own").alias("own"))
+    groups_ = parts.groupBy(*group).agg(F.sum("n").alias("m"), F.max("s").alias("s"), F.max_by("of", F.struct("n", "of")).alias("main"), F.max("n").alias("in_main"), F.min("own").alias("own")).where("m > in_main and own = level")
+    per = F.least(F.lit(TILE), F.greatest(F.lit(1), F.floor(F.lit(TILE_SHINGLES) / F.col("s"))))
+    plan = groups_.select(*group, "main", F.ceil((F.col("m") - F.col("in_main")) / per).cast("int").alias("p"), F.ceil(F.col("in_main") / per).cast("int").alias("q"))
+    dealt = sized.join(plan, group)
+    inside = F.col("of") == F.col("main")
+    spread = F.xxhash64("node", F.lit(seed))
+    dealt = dealt.withColumn("i", F.when(inside, F.col("p") + F.pmod(spread, F.col("q"))).otherwise(F.pmod(spread, F.col("p"))).cast("int"))
+    partners = F.when(inside, F.expr("sequence(0, p - 1)")).otherwise(F.expr("sequence(0, p + q - 1)"))
+    spots = dealt.select(*group, "node", "of", "i", F.explode(partners).alias("j"))
+    spots = spots.select(*group, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "of")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py() or b"", words, seed).tobytes() for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
+
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "one.doc_id", "one.h")
+    sets = stored(texts.join(wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text").mapInArrow(draw, "node long, hashes binary"))
+
+    def link(tile: pa.Table) -> pa.Table:
+        node = tile.column("node").to_numpy()
+        first = joined([np.frombuffer(x.as_py(), np.uint64) for x in tile.column("hashes")], tile.column("of").to_numpy(), similarity)
+        to = first != np.arange(len(first))
+        return pa.table({"a": node[first[to]], "b": node[to]})
+
+    return cut(spots.join(sets, "node").groupBy(*group, "i", "j").applyInArrow(link, "a long, b long").distinct())
+
+
 def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
     """(doc_id, h, root): rows with equal root are joined by links of shingle similarity (Jaccard) of at least ``similarity``.
 
     Three rounds find pairs, whole shingle sets decide each, and components join them:
     fingerprints within 2 bits meet in the grid; documents whose sketches agree in a run of
     bins meet a hub that differs from run to run, which joins large groups of copies by few
-    pairs; then every two that meet in a run and are not joined yet are compared. The sketches
+    pairs; then every two that meet in a run and are not joined yet are compared: as pairs
+    where up to ``FEW`` meet, else block by block (``tiled``). The sketches
     are needed since pairs as similar as 0.8 differ in up to sixteen fingerprint bits, out of
     the grid's reach. Equal sets are one node. h tells different texts of one doc_id apart.
     Rows without doc_id are left out.
@@ -228,11 +306,16 @@ def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed:
         links_ = verified(first, nodes, texts, words, similarity, seed)
         of = components(links_)
         apart = met.join(of, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("of"))
-        mixed = apart.groupBy("band", "key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("band", "key")
-        apart = cut(apart.join(mixed, ["band", "key"]))
-        other = apart.select("band", "key", F.col("node").alias("b"), F.col("of").alias("of_b"))
-        rest = apart.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-        of = components(links_.unionByName(verified(rest, nodes, texts, words, similarity, seed)))
+        mixed = apart.groupBy("band", "key").agg(F.min("of").alias("x"), F.max("of").alias("y"), F.count("*").alias("m")).where("x <> y")
+        apart = cut(apart.join(mixed.select("band", "key", "m"), ["band", "key"]))
+        few = apart.where(F.col("m") <= FEW).drop("m")
+        other = few.select("band", "key", F.col("node").alias("b"), F.col("of").alias("of_b"))
+        rest = few.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+        found = [links_, verified(rest, nodes, texts, words, similarity, seed)]
+        many = apart.where(F.col("m") > FEW).drop("m")
+        if many.limit(1).count():
+            found.append(tiled(many, nodes, texts, words, similarity, seed))
+        of = components(reduce(DataFrame.unionByName, found))
     return drawn.select("doc_id", "h", "node").join(of, "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("root"))
 
 

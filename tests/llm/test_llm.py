@@ -244,18 +244,8 @@ def test_similar_documents(spark):
     assert sorted(r.doc_id for r in simhash.first_of_each(frame).collect()) == [0, 1, 2, 3, 4, 20]
 
 
-def test_similar_documents_by_whole_sets(spark):
-    """Short texts of a few templates, many near the threshold: groups are those of exact similarity."""
-    rng = random.Random(21)
-    word = lambda: f"w{rng.randrange(9999)}"
-    texts = []
-    for _ in range(6):
-        base = [word() for _ in range(rng.choice((30, 60, 120)))]
-        for _ in range(25):
-            own = list(base)
-            for k in rng.sample(range(len(own)), rng.randint(1, max(1, len(own) // 30))):
-                own[k] = word()
-            texts.append(" ".join(own))
+def groups_by_jaccard(texts):
+    """The smallest number reachable from each text by links of similarity 0.8 of five words, by all pairs."""
     sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
     root = list(range(len(texts)))
     pairs = [(a, b) for a, b in itertools.combinations(root, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
@@ -264,11 +254,49 @@ def test_similar_documents_by_whole_sets(spark):
             break
         for a, b in pairs:
             root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def family(rng, bases, copies, share):
+    word = lambda: f"w{rng.randrange(9999)}"
+    for _ in range(bases):
+        base = [word() for _ in range(rng.choice((30, 60, 120)))]
+        for _ in range(copies):
+            own = list(base)
+            for k in rng.sample(range(len(own)), rng.randint(1, max(1, len(own) // share))):
+                own[k] = word()
+            yield " ".join(own + [word() for _ in range(rng.randint(0, len(own) // 20))])
+
+
+@pytest.mark.parametrize("tiles", [False, True])
+def test_similar_documents_by_whole_sets(spark, monkeypatch, tiles):
+    """Short texts of a few templates, many near the threshold: groups are those of exact similarity,
+    whether those that meet are compared as pairs or block by block."""
+    if tiles:
+        for name, value in {"FEW": 2, "TILE": 7, "TILE_SHINGLES": 500, "STRIP": 64}.items():
+            monkeypatch.setattr(simhash, name, value)
+    texts = list(family(random.Random(21), 6, 25, 30))
+    root = groups_by_jaccard(texts)
     assert 6 < len(set(root)) < len(root)
     got = {r.doc_id: r.component_id for r in simhash.similar_groups(documents(spark, enumerate(texts))).collect()}
     assert got == dict(enumerate(root))
 
 
+def test_joined_sets():
+    """One tile joins what all pairs of different parts join, over any strips of columns."""
+    rng = random.Random(5)
+    texts = [*family(rng, 3, 30, 15), "one", "one two", ""]
+    sets = [simhash.shingle_set(t.encode(), 5, 42) for t in texts]
+    root = groups_by_jaccard([t + " ." * 4 if len(t.split()) < 5 and t else t for t in texts])
+    for strip in (16, 4096):
+        simhash.STRIP, before = strip, simhash.STRIP
+        try:
+            assert simhash.joined(sets[:-1], np.arange(len(sets) - 1), 0.8).tolist() == root[:-1]
+            assert simhash.joined(sets[:-1], np.zeros(len(sets) - 1), 0.8).tolist() == list(range(len(sets) - 1))
+        finally:
+            simhash.STRIP = before
+
+
 def test_language_id(spark, empty):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = queries.op10_language_id(spark, "/root/testdata/sf0.01").join(table.select("doc_id", "lang"), "doc_id").where("held_out")
