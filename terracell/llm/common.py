@@ -22,6 +22,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ckpt-"))
 
 
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of at most 1000 rows or 16 MB, from here on in this session,
+    unless it has smaller ones: both processes hold a batch several times, in every task."""
+    for name, most in BATCH.items():
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) if name.endswith("BytesPerBatch") else int(spark.conf.get(name))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: what follows reads files that every executor shares."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 BITS, PER_LANGUAGE, PENALTY, FLOOR = 16, 1500, 12.0, 3.0
 BUCKETS, _MIX = 1 << BITS, np.uint64(0x9E3779B97F4A7C15)
-_MOST_CACHED = 300_000
+_MOST_CACHED = 200_000
 
 # First code points of Unicode ranges and their scripts ("" stands for none of these).
 SCRIPTS = [
@@ -77,19 +79,25 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def counts(docs: DataFrame) -> DataFrame:
     """(lang, bucket, n) over (lang, text); bucket -1-i counts words whose script is NAMES[i]."""
 
+    def rows(found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, table in found.items():
+            at = np.flatnonzero(table)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(table[at])], ["lang", "bucket", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, np.ndarray] = {}
         for batch in batches:
-            found: dict[str, np.ndarray] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if lang not in found and len(found) == 64:
+                    yield from rows(found)
+                    found.clear()
                 table = found.setdefault(lang, np.zeros(BUCKETS + len(NAMES), np.int64))
                 words = [w for w in map(letters, (text or "").split()) if w]
                 if words:
                     table[:BUCKETS] += np.bincount(grams(words)[0], minlength=BUCKETS)
                     for name, n in Counter(script(w[0]) for w in words).items():
                         table[BUCKETS + NAMES.index(name)] += n
-            for lang, table in found.items():
-                at = np.flatnonzero(table)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(table[at])], ["lang", "bucket", "n"])
+        yield from rows(found)
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
@@ -130,6 +138,8 @@ class Model:
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
         """(language, share of letters in it, spans as (first word, end word, language))."""
+        if len(self.index) > _MOST_CACHED:
+            self.start()
         chunks = (text or "").split()
         if not self.langs:
             return "und", 0.0, []
@@ -196,6 +206,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, most_languages: i
 
 def identify(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     """Per row of (doc_id, text): lang_pred, score and, if asked for, spans of words."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs, model.scripts))  # languages x BUCKETS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,8 +214,6 @@ def identify(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
         own.start()
         for batch in batches:
             out = [own.label(t.as_py()) for t in batch.column(1)]
-            if len(own.index) > _MOST_CACHED:
-                own.start()
             columns = [batch.column(0), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())]
             if spans:
                 columns.append(pa.array([[{"first": a, "end": b, "lang": x} for a, b, x in o[2]] for o in out], pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
@@ -225,6 +234,7 @@ def learned(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of ``docs``, whole, that have a language holding at least ``least`` of their letters."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs, model.scripts))  # languages x BUCKETS floats
     at = docs.columns.index("text")
 
@@ -234,7 +244,5 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
         for batch in batches:
             found = [own.label(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([x[0] != "und" and x[1] >= least for x in found], pa.bool_()))
-            if len(own.index) > _MOST_CACHED:
-                own.start()
 
     return docs.mapInArrow(run, docs.schema)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh
+from .common import cut, fresh, small_batches
 
 LEADING, MIN_DOCS, CONSTANT, MOST_SHARE = 3, 10, 0.7, 0.5
 ANY = "<*>"
@@ -65,6 +65,7 @@ def parsed(docs: DataFrame, leading: int) -> DataFrame:
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(lines, pa.int32()), pa.array(sizes, pa.int32()), _signed(leaves), _signed(forms)], ["doc_id", "h", "line", "words", "leaf", "form"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, "doc_id long, h long, line int, words int, leaf long, form long")
 
 

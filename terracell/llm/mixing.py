@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, running, stored
+from .common import cut, fresh, running, small_batches, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 _WORD = re.compile(WORD).finditer
@@ -181,6 +181,7 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
     """
     names = docs.columns
     row, copies = fresh(docs, "_row", "_copies")
+    small_batches(docs.sparkSession)
     # rows get a number, fixed by being written; places go by content, so equal rows alone can change places
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()))
     key = F.struct("doc_id", F.xxhash64("text").alias("h"), F.col(row).alias("row"))

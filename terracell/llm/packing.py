@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, running
+from .common import cut, running, small_batches
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_MOST_CACHED = 300_000
+_MOST_CACHED = 200_000
 _CONTROLS = re.compile("[\x1c-\x1f]").search
 _encoders: dict[str, Encoder] = {}
 
@@ -95,6 +95,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 1)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 5, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, fresh, own_shuffles, stored
+from .common import components, cut, fresh, own_shuffles, small_batches, stored
 
 SEGMENTS, WIDTH, SLICE = 16, 4, 1 << 16
 
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
             fp = np.fromiter((fingerprint(t.as_py() or b"", words, seed) for t in texts), dtype=np.uint64, count=len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), pa.array(popcounts(fp).view(np.int64))], ["doc_id", "fp", "cell"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long, cell long")
 
 
@@ -288,6 +289,7 @@ def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed:
                 small = pa.array([x.astype(np.uint8).tobytes() for x in sketches], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), pa.array(fp.view(np.int64)), pa.array(popcounts(fp).view(np.int64)), bands, small], ["doc_id", "h", "node", "size", "fp", "cell", "bands", "sketch"])
 
+    small_batches(docs.sparkSession)
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
     drawn = stored(texts.mapInArrow(draw, "doc_id long, h long, node long, size int, fp long, cell long, bands array<long>, sketch binary"))
     # equal sets have equal sizes and sketches
