@@ -185,7 +185,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, s
     return cut(whole.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long"))
 
 
-FEW, TILE, TILE_SHINGLES, STRIP = 16, 128, 1 << 20, 2048
+FEW, TILE, TILE_SHINGLES, STRIP, LEVEL = 16, 512, 1 << 20, 2048, 4
 
 
 def joined(sets: list[np.ndarray], of: np.ndarray, similarity: float) -> np.ndarray:
@@ -219,17 +219,18 @@ def tiled(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, si
     """Links (a, b) that join what exact similarity joins among the ``members`` (band, key, node, of) of large groups.
 
     A group of one (band, key) is cut by size, since sets linked differ in size by no more than the
-    similarity, and then into blocks of at most about 128 sets and 2^20 shingles. Those outside
+    similarity, and then into blocks of at most about 512 sets and 2^20 shingles. Those outside
     the group's largest component meet each other's blocks and that component's, two blocks a
     task, which counts common shingles by a product of incidence matrices. A task gives
     one link for each set that something joins, never the pairs; a member travels once for every block it
-    meets, a 128th of its pairs.
+    meets, a 512th of its pairs.
     """
     ratio = math.log(1 / similarity) * (1 + 1e-9) if similarity > 0 else math.inf
-    level = F.floor(F.log("size") / F.lit(ratio)).cast("int") if similarity < 1 else F.col("size")
-    sized = members.join(nodes.select("node", "size"), "node").withColumn("level", level)
-    # sets that can be linked lie in one level or in neighbouring ones, and meet in the lower of the two
-    sized = sized.withColumn("own", F.col("level")).withColumn("level", F.explode(F.array("level", F.col("level") - 1) if similarity < 1 else F.array("level")))
+    # linked sets lie within one step; a level is LEVEL steps, and a level's lowest step also meets the level below
+    step = F.floor(F.log("size") / F.lit(ratio)).cast("int") if similarity < 1 else F.col("size") * LEVEL
+    own = F.floor(step / LEVEL).cast("int")
+    sized = members.join(nodes.select("node", "size"), "node").withColumn("own", own)
+    sized = sized.withColumn("level", F.explode(F.when((step % LEVEL == 0) & F.lit(similarity < 1), F.array("own", F.col("own") - 1)).otherwise(F.array("own"))))
     group = ["band", "key", "level"]
     parts = sized.groupBy(*group, "of").agg(F.count("*").alias("n"), F.max("size").alias("s"), F.min("own").alias("own"))
     groups_ = parts.groupBy(*group).agg(F.sum("n").alias("m"), F.max("s").alias("s"), F.max_by("of", F.struct("n", "of")).alias("main"), F.max("n").alias("in_main"), F.min("own").alias("own")).where("m > in_main and own = level")
@@ -239,7 +240,8 @@ def tiled(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, si
     inside = F.col("of") == F.col("main")
     spread = F.xxhash64("node", F.lit(seed))
     dealt = dealt.withColumn("i", F.when(inside, F.col("p") + F.pmod(spread, F.col("q"))).otherwise(F.pmod(spread, F.col("p"))).cast("int"))
-    partners = F.when(inside, F.expr("sequence(0, p - 1)")).otherwise(F.expr("sequence(0, p + q - 1)"))
+    # every block has a partner (p and q are at least 1), and is compared with itself there
+    partners = F.when(inside, F.expr("sequence(0, p - 1)")).otherwise(F.expr("filter(sequence(0, p + q - 1), x -> x <> i)"))
     spots = dealt.select(*group, "node", "of", "i", F.explode(partners).alias("j"))
     spots = spots.select(*group, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "of")
 
