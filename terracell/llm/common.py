@@ -113,6 +113,12 @@ def running(df: DataFrame, key: list[str], order: list[Column], weight: Column,
     )
 
 
+def matched(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join of two sides that grow with the rows: by sorting, so that no side is ever built on the driver,
+    whatever ``spark.sql.autoBroadcastJoinThreshold`` lets through (10 MB of shuffled longs take far more there)."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of (a, b) rows by alternating large and small stars.
 
@@ -125,9 +131,9 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = matched(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+        small = matched(large, low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         e = cut(small)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, fresh, own_shuffles, small_batches, stored
+from .common import components, cut, fresh, matched, own_shuffles, small_batches, stored
 
 SEGMENTS, WIDTH, SLICE = 16, 4, 1 << 16
 
@@ -88,22 +88,22 @@ def links(prints: DataFrame) -> DataFrame:
         near.append(F.when(count > 0, F.struct((F.col("cell") - F.lit(1 << at)).alias("near"), F.lit(-1).alias("step"), F.lit(at).alias("at"))))
     cells = prints.select("fp", F.explode(F.array(*near)).alias("n")).where("n is not null").select("fp", "n.*")
     busy = cells.groupBy("near").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select("near")
-    patterns = cells.join(busy, "near").select(
+    patterns = matched(cells, busy, "near").select(
         "fp",
         F.explode(F.expr("if(step = 0, array(fp), transform(filter(sequence(at, at + 3), p -> (shiftright(fp, p) & 1) = if(step > 0, 0, 1)), p -> fp ^ shiftleft(1L, p)))")).alias("pattern"),
     )
     patterns = cut(patterns)
     hubs = patterns.groupBy("pattern").agg(F.min("fp").alias("a"), F.max("fp").alias("y")).where("a <> y").select("pattern", "a")
-    return patterns.join(hubs, "pattern").where("fp <> a and bit_count(fp ^ a) <= 2").select("a", F.col("fp").alias("b")).distinct()
+    return matched(patterns, hubs, "pattern").where("fp <> a and bit_count(fp ^ a) <= 2").select("a", F.col("fp").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     """Per document: doc_id, fp (long), component_id (the smallest doc_id reachable by links)."""
     prints = cut(fingerprints(docs, words, seed))
     of = components(links(prints.select("fp", "cell").distinct()))
-    rooted = prints.join(of.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "fp", F.coalesce("component", "fp").alias("root"))
+    rooted = matched(prints, of.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "fp", F.coalesce("component", "fp").alias("root"))
     first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(first, "root").select("doc_id", "fp", "component_id")
+    return matched(rooted, first, "root").select("doc_id", "fp", "component_id")
 
 
 BINS, ROWS = 256, 8
