@@ -177,11 +177,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, s
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(ok, pa.int64())) for k in (0, 1)], ["a", "b"])
 
     side = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9)
+    near = matched(matched(pairs, side("a"), "a"), side("b"), "b").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9)
     near = cut(near.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(close, "a long, b long"))
-    wanted = nodes.join(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "one.doc_id", "one.h")
-    has = stored(texts.join(wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text"))
-    whole = near.join(has.select(F.col("node").alias("a"), F.col("text").alias("s")), "a").join(has.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
+    wanted = matched(nodes, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "one.doc_id", "one.h")
+    has = stored(matched(texts, wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text"))
+    whole = matched(matched(near, has.select(F.col("node").alias("a"), F.col("text").alias("s")), "a"), has.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
     return cut(whole.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long"))
 
 
@@ -229,14 +229,14 @@ def tiled(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, si
     # linked sets lie within one step; a level is LEVEL steps, and a level's lowest step also meets the level below
     step = F.floor(F.log("size") / F.lit(ratio)).cast("int") if similarity < 1 else F.col("size") * LEVEL
     own = F.floor(step / LEVEL).cast("int")
-    sized = members.join(nodes.select("node", "size"), "node").withColumn("own", own)
+    sized = matched(members, nodes.select("node", "size"), "node").withColumn("own", own)
     sized = sized.withColumn("level", F.explode(F.when((step % LEVEL == 0) & F.lit(similarity < 1), F.array("own", F.col("own") - 1)).otherwise(F.array("own"))))
     group = ["band", "key", "level"]
     parts = sized.groupBy(*group, "of").agg(F.count("*").alias("n"), F.max("size").alias("s"), F.min("own").alias("own"))
     groups_ = parts.groupBy(*group).agg(F.sum("n").alias("m"), F.max("s").alias("s"), F.max_by("of", F.struct("n", "of")).alias("main"), F.max("n").alias("in_main"), F.min("own").alias("own")).where("m > in_main and own = level")
     per = F.least(F.lit(TILE), F.greatest(F.lit(1), F.floor(F.lit(TILE_SHINGLES) / F.col("s"))))
     plan = groups_.select(*group, "main", F.ceil((F.col("m") - F.col("in_main")) / per).cast("int").alias("p"), F.ceil(F.col("in_main") / per).cast("int").alias("q"))
-    dealt = sized.join(plan, group)
+    dealt = matched(sized, plan, group)
     inside = F.col("of") == F.col("main")
     spread = F.xxhash64("node", F.lit(seed))
     dealt = dealt.withColumn("i", F.when(inside, F.col("p") + F.pmod(spread, F.col("q"))).otherwise(F.pmod(spread, F.col("p"))).cast("int"))
@@ -250,8 +250,8 @@ def tiled(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, si
             sets = [shingle_set(t.as_py() or b"", words, seed).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
 
-    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "one.doc_id", "one.h")
-    sets = stored(texts.join(wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text").mapInArrow(draw, "node long, hashes binary"))
+    wanted = matched(nodes, members.select("node").distinct(), "node").select("node", "one.doc_id", "one.h")
+    sets = stored(matched(texts, wanted, ["doc_id", "h"]).dropDuplicates(["node"]).select("node", "text").mapInArrow(draw, "node long, hashes binary"))
 
     def link(tile: pa.Table) -> pa.Table:
         node = tile.column("node").to_numpy()
@@ -259,7 +259,7 @@ def tiled(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, si
         to = first != np.arange(len(first))
         return pa.table({"a": node[first[to]], "b": node[to]})
 
-    return cut(spots.join(sets, "node").groupBy(*group, "i", "j").applyInArrow(link, "a long, b long").distinct())
+    return cut(matched(spots, sets, "node").groupBy(*group, "i", "j").applyInArrow(link, "a long, b long").distinct())
 
 
 def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
@@ -300,34 +300,35 @@ def similar_rows(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed:
     sides = lambda pairs: pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     with own_shuffles(docs.sparkSession):
         first_of = some.groupBy("fp").agg(F.min("node").alias("hub"))
-        grid = links(some.select("fp", "cell").distinct()).join(first_of.withColumnsRenamed({"fp": "a", "hub": "x"}), "a").join(first_of.withColumnsRenamed({"fp": "b", "hub": "y"}), "b")
-        same = some.select("fp", F.col("node").alias("y")).join(first_of, "fp").select(F.col("hub").alias("x"), "y")
+        grid = matched(matched(links(some.select("fp", "cell").distinct()), first_of.withColumnsRenamed({"fp": "a", "hub": "x"}), "a"), first_of.withColumnsRenamed({"fp": "b", "hub": "y"}), "b")
+        same = matched(some.select("fp", F.col("node").alias("y")), first_of, "fp").select(F.col("hub").alias("x"), "y")
         near = cut(sides(grid.select("x", "y").unionByName(same)))
         bands = some.select("node", F.posexplode("bands").alias("band", "key"))
         hubs = bands.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("band", "node").alias("r"), "node")).alias("hub"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
-        met = stored(bands.join(hubs.select("band", "key", F.col("hub.node").alias("a")), ["band", "key"]).select("band", "key", "a", "node"))
+        met = stored(matched(bands, hubs.select("band", "key", F.col("hub.node").alias("a")), ["band", "key"]).select("band", "key", "a", "node"))
         first = cut(near.unionByName(sides(met.select(F.col("a").alias("x"), F.col("node").alias("y")))).distinct())
         links_ = verified(first, nodes, texts, words, similarity, seed)
         of = components(links_)
-        apart = met.join(of, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("of"))
+        apart = matched(met, of, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("of"))
         mixed = apart.groupBy("band", "key").agg(F.min("of").alias("x"), F.max("of").alias("y"), F.count("*").alias("m")).where("x <> y")
-        apart = cut(apart.join(mixed.select("band", "key", "m"), ["band", "key"]))
+        apart = cut(matched(apart, mixed.select("band", "key", "m"), ["band", "key"]))
         few = apart.where(F.col("m") <= FEW).drop("m")
         other = few.select("band", "key", F.col("node").alias("b"), F.col("of").alias("of_b"))
-        rest = few.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+        rest = matched(few.withColumnRenamed("node", "a"), other, ["band", "key"]).where("a < b and of <> of_b").select("a", "b").distinct()
+        rest = matched(rest, first, ["a", "b"], "left_anti")
         found = [links_, verified(rest, nodes, texts, words, similarity, seed)]
         many = apart.where(F.col("m") > FEW).drop("m")
         if many.limit(1).count():
             found.append(tiled(many, nodes, texts, words, similarity, seed))
         of = components(reduce(DataFrame.unionByName, found))
-    return drawn.select("doc_id", "h", "node").join(of, "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("root"))
+    return matched(drawn.select("doc_id", "h", "node"), of, "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("root"))
 
 
 def similar_groups(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, component_id): the smallest doc_id reachable by links of ``similar_rows``; a row a row of ``docs`` with doc_id."""
     rooted = similar_rows(docs, **options)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least, "root").select("doc_id", "component_id")
+    return matched(rooted, least, "root").select("doc_id", "component_id")
 
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
@@ -340,9 +341,9 @@ def first_of_each(docs: DataFrame, **options) -> DataFrame:
     rooted = cut(similar_rows(docs, **options))
     kept = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("one"))
     again = rooted.groupBy("doc_id", "h").agg(F.count("*").alias("n"))
-    kept = cut(kept.join(again, (F.col("one.doc_id") == F.col("doc_id")) & (F.col("one.h") == F.col("h"))).select("doc_id", "h", "n"))
+    kept = cut(matched(kept, again, (F.col("one.doc_id") == F.col("doc_id")) & (F.col("one.h") == F.col("h"))).select("doc_id", "h", "n"))
     key, h, n, row = fresh(docs, "_id", "_h", "_n", "_row")
-    found = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64("text")).join(kept.withColumnsRenamed({"doc_id": key, "h": h, "n": n}), [key, h])
+    found = matched(docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64("text")), kept.withColumnsRenamed({"doc_id": key, "h": h, "n": n}), [key, h])
     columns = [F.col(f"`{c}`") for c in docs.columns]
     out = found.where(F.col(n) == 1).select(columns)
     if kept.where("n > 1").limit(1).count():

@@ -1,6 +1,7 @@
 """Near-dedup builds no side of a join on the driver, at the broadcast threshold that Spark has by default."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from terracell.llm import simhash
 
@@ -37,3 +38,11 @@ def test_groups_broadcast_nothing(spark, plans):
     got = {r.doc_id: r for r in simhash.groups(_docs(spark)).collect()}
     assert len(got) == 63 and all(r.component_id == min(x.doc_id for x in got.values() if x.component_id == r.component_id) for r in got.values())
     assert len(seen := plans()) > 3 and any("Join" in p for p in seen) and not [p for p in seen if "BroadcastExchange" in p]
+
+
+def test_near_dedup_broadcasts_nothing(spark, plans, monkeypatch):
+    monkeypatch.setattr(simhash, "FEW", 2)  # both ways of comparison
+    docs = _docs(spark).withColumn("other", F.lit(1))
+    kept = sorted(r.doc_id for r in simhash.first_of_each(docs).collect())
+    assert kept == [0, 1, 2, 3, 4, 5, 6, 60, 62]
+    assert len(seen := plans()) > 3 and not [p for p in seen if "BroadcastExchange" in p]
