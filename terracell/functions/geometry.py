@@ -10,6 +10,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,19 +87,25 @@ def geodesic(lat: Column, degrees: Column) -> Column:
     return F.pandas_udf(_along, "double")(lat, degrees)
 
 
-def _line(points: pd.Series) -> pd.Series:
-    def one(ps: list) -> bytes | None:
-        if ps is None or not len(ps):
-            return None
-        xy = [v for p in ps for v in (p["lon"], p["lat"])]
-        return struct.pack("<BIdd", 1, 1, *xy) if len(ps) == 1 else struct.pack(f"<BII{len(xy)}d", 1, 2, len(ps), *xy)
-
-    return pd.Series([one(p) for p in points], dtype=object)
+def _line(points: pa.Array) -> pa.Array:
+    n, flat = points.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), points.flatten()
+    xy = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("lon", "lat")], axis=1).astype("<f8").view(np.uint8)
+    head = np.where(n > 1, 9, 5) * (n > 0)
+    end = np.cumsum(head + 16 * n)
+    begin = end - head - 16 * n
+    out = np.zeros(end[-1] if len(end) else 0, np.uint8)
+    some, several = begin[n > 0], n > 1
+    out[some], out[some + 1] = 1, np.where(several, 2, 1)[n > 0]
+    out[begin[several][:, None] + np.arange(5, 9)] = n[several].astype("<u4").view(np.uint8).reshape(-1, 4)
+    at = np.repeat(begin + head - 16 * (np.cumsum(n) - n), n) + 16 * np.arange(len(xy))
+    out[at[:, None] + np.arange(16)] = xy.reshape(-1, 16)
+    none = pa.array(n > 0)
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [none.buffers()[1], pa.py_buffer(np.concatenate([[0], end]).astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
 
 
 def line_wkb(points: Column) -> Column:
-    """Little-endian WKB: a line string, or a point for one point."""
-    return F.pandas_udf(_line, "binary")(points)
+    """Little-endian WKB: a line string, or a point for one point; null without any."""
+    return F.arrow_udf(_line, "binary")(points)
 
 
 def _box(x0: pd.Series, x1: pd.Series, y0: pd.Series, y1: pd.Series) -> pd.Series:

@@ -7,10 +7,12 @@ polygons of one open ring. All measures are plane ones, in degrees.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from . import geometry, grid
@@ -124,75 +126,191 @@ def turned(ring: Ring) -> list[Ring]:
     return [east, east - (360, 0)]
 
 
-def candidates(found: list[tuple[int, Shape]], res: int = 3, step: float = 0.25) -> list[list[int]]:
-    """Cells that may meet each shape: of points along its edges, with their neighbours, and cells with their centre inside."""
-    if not found:
-        return []
-    dots, sizes, polygons, of = [], [], [], []
-    for k, (kind, shape) in enumerate(found):
-        n = 0
-        for rings in shape:
-            for ring in rings:
-                along = [ring]
-                for a, b in zip(ring[:-1], ring[1:], strict=True):
-                    m = int(np.ceil(np.abs(b - a).max() / step))
-                    if m > 1:
-                        along.append(a + (b - a) * np.arange(1, m)[:, None] / m)
-                dots += along
-                n += sum(map(len, along))
-            if kind in (POLYGON, MULTIPOLYGON):
-                polygons.append([r[:, ::-1] for r in rings])
-                of.append(k)
-        sizes.append(n)
-    xy = np.concatenate(dots)
-    rows = pd.DataFrame({"k": np.repeat(np.arange(len(found)), sizes), "cell": grid.indexes(np.clip(xy[:, 1], -90, 90), xy[:, 0], res)}).drop_duplicates()
-    cells = rows["cell"].unique()
-    around = dict(zip(cells.tolist(), grid.neighbours(cells, res).tolist(), strict=True))
-    out: list[set[int]] = [set() for _ in found]
-    for k, cell in zip(rows["k"].tolist(), rows["cell"].tolist(), strict=True):
-        out[k].add(cell)
-        out[k].update(c for c in around[cell] if c >= 0)
-    for k, more in zip(of, grid.covers(polygons, res), strict=True):
-        out[k].update(more)
-    return [sorted(x) for x in out]
-
-
-def candidate_cells(wkb: Column) -> Column:
-    """array<long>: coarse cells that may meet a shape; a superset of those that do. Null for null."""
-
-    @F.pandas_udf("array<long>")
-    def run(data: pd.Series) -> pd.Series:
-        out, ok = pd.Series([None] * len(data), index=data.index, dtype=object), data.notna().to_numpy()
-        if ok.any():
-            out[ok] = pd.Series(candidates([read_wkb(bytes(d)) for d in data[ok]]), index=data.index[ok], dtype=object)
-        return out
+class Cells:
+    """Areas of cells with the boxes around them in bins of one degree, for many shapes at once.
+
+    An area that crosses the antimeridian stands there twice; shorter rings repeat their last corner.
+    """
+
+    def __init__(self, keys: np.ndarray, rings: list[Ring]) -> None:
+        own = [r if (r[0] == r[-1]).all() else np.concatenate([r, r[:1]]) for r in rings]
+        most = max(map(len, own))
+        corners = np.stack([np.concatenate([r, np.repeat(r[-1:], most - len(r), axis=0)]) for r in own])
+        self.keys, self.start, self.end = keys, corners[:, :-1], corners[:, 1:]
+        self.low, self.high = corners.min(axis=1), corners.max(axis=1)
+        self.zero = np.floor(self.low.min(axis=0)).astype(np.int64)
+        self.shape = np.floor(self.high.max(axis=0)).astype(np.int64) - self.zero + 1
+        row, at = self._bins(self.low, self.high)
+        order = np.argsort(at, kind="stable")
+        self.held, self.edge = row[order], np.searchsorted(at[order], np.arange(self.shape.prod() + 1))
+
+    def _bin(self, p: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor(np.clip(p, -1e6, 1e6)).astype(np.int64) - self.zero, 0, self.shape - 1)
+
+    def _bins(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, bin) of every bin that each box meets."""
+        first, n = self._bin(low), self._bin(high) - self._bin(low) + 1
+        row, k = spread(n.prod(axis=1))
+        x, y = first[row, 0] + k // n[row, 1], first[row, 1] + k % n[row, 1]
+        return row, x * self.shape[1] + y
+
+    def near(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(box, area) whose boxes meet, each once."""
+        box, at = self._bins(low, high)
+        k, n = spread(self.edge[at + 1] - self.edge[at])
+        box, at, area = box[k], at[k], self.held[self.edge[at[k]] + n]
+        corner = self._bin(np.maximum(low[box], self.low[area]))  # boxes that meet in several bins count in one
+        ok = (corner[:, 0] * self.shape[1] + corner[:, 1] == at) & (low[box] <= self.high[area]).all(axis=1) & (high[box] >= self.low[area]).all(axis=1)
+        return box[ok], area[ok]
+
+
+def spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row as often as its size, and the counts within it from 0."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def even_odd(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the ray from p crosses the edge from a to b."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return ((a[..., 1] > p[..., 1]) != (b[..., 1] > p[..., 1])) & (p[..., 0] < (b[..., 0] - a[..., 0]) * (p[..., 1] - a[..., 1]) / (b[..., 1] - a[..., 1]) + a[..., 0])
+
+
+def touch(p: np.ndarray, q: np.ndarray, r: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Whether each segment p to q meets the segment r to s, touching included."""
+
+    def side(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return np.sign((b[..., 0] - a[..., 0]) * (c[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (c[..., 0] - a[..., 0]))
+
+    sides = side(p, q, r), side(p, q, s), side(r, s, p), side(r, s, q)
+    hit = (sides[0] * sides[1] < 0) & (sides[2] * sides[3] < 0)
+    for o, x, y, z in zip(sides, (p, p, r, r), (q, q, s, s), (r, s, p, q), strict=True):
+        at = np.nonzero(o == 0)
+        if len(at[0]):
+            x, y, z = (np.broadcast_to(v, (*hit.shape, 2))[at] for v in (x, y, z))
+            hit[at] |= ((np.minimum(x, y) <= z) & (z <= np.maximum(x, y))).all(axis=-1)
+    return hit
+
+
+_PAIRS, _BINS, _PAD = 1 << 15, 1 << 20, 1e-9  # of corners or segments with areas, of bins, looked at in one go; degrees
+
+
+def pieces(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of rows of at most ``most`` in all, or one row."""
+    out, end, low = [], np.cumsum(sizes), 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(end, (end[low - 1] if low else 0) + most, "right")))
+        out.append((low, high))
+        low = high
+    return out
+
+
+def met(xy: np.ndarray, ring_sizes: np.ndarray, rings_of: np.ndarray, area: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray]:
+    """(polygon, key) of the cells that polygons meet, as ``meet`` says of each pair, each once.
+
+    xy are the corners of all rings, rings_of the number of each polygon's rings, its outer one first; a polygon that is no area is a line.
+    """
+    first_ring = np.cumsum(rings_of) - rings_of
+    begin = np.cumsum(ring_sizes) - ring_sizes
+    outer, n_outer = begin[first_ring], ring_sizes[first_ring]
+    n_all = np.add.reduceat(ring_sizes, first_ring)
+    last = np.zeros(len(xy), bool)
+    last[begin + ring_sizes - 1] = True
+    after = np.arange(1, len(xy) + 1)
+    around = np.where(last, np.repeat(begin, ring_sizes), after)  # the next corner, the first one's after the last
+    single = np.repeat(ring_sizes == 1, ring_sizes)
+    k, n = spread(n_outer)
+    edges = np.cumsum(n_outer) - n_outer
+    of_outer = xy[outer[k] + n]
+    low, high = np.minimum.reduceat(of_outer, edges), np.maximum.reduceat(of_outer, edges)
+    ok = np.flatnonzero(np.isfinite(low).all(axis=1) & np.isfinite(high).all(axis=1))
+    spans = (np.minimum(high[ok], 1e6) - np.maximum(low[ok], -1e6) + 2).clip(0, cells.shape).prod(axis=1).astype(np.int64)
+    polygon, part = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x, y in pieces(spans, _BINS):
+        box, a = cells.near(low[ok[x:y]], high[ok[x:y]])
+        polygon.append(ok[x:y][box])
+        part.append(a)
+    polygon, part = np.concatenate(polygon), np.concatenate(part)
+    hit = np.zeros(len(polygon), bool)
+
+    def corners(sizes: np.ndarray, start: np.ndarray):
+        """Pairs that are not known to meet, with each of their polygon's corners."""
+        todo = np.flatnonzero(~hit)
+        for x, y in pieces(sizes[polygon[todo]], _PAIRS):
+            pair = todo[x:y]
+            k, n = spread(sizes[polygon[pair]])
+            yield pair[k], start[polygon[pair[k]]] + n, part[pair[k]]
+
+    for pair, at, a in corners(n_outer, outer):
+        p = xy[at]
+        some = ((p >= cells.low[a] - _PAD) & (p <= cells.high[a] + _PAD)).all(axis=1)
+        pair, p, a = pair[some], p[some], a[some]
+        inside = np.logical_xor.reduce(even_odd(p[:, None], cells.start[a], cells.end[a]), axis=1)
+        hit[pair[inside]] = True
+    for pair, at, a in corners(n_all, outer):
+        to = np.minimum(np.where(single[at], at, at + 1), len(xy) - 1)
+        p, q = xy[at], xy[to]
+        some = (single[at] | ~last[at]) & (np.minimum(p, q) <= cells.high[a] + _PAD).all(axis=1) & (np.maximum(p, q) >= cells.low[a] - _PAD).all(axis=1)
+        pair, p, q, a = pair[some], p[some], q[some], a[some]
+        hit[pair[touch(p[:, None], q[:, None], cells.start[a], cells.end[a]).any(axis=1)]] = True
+    odd = np.zeros(len(polygon), np.int64)
+    for pair, at, a in corners(np.where(area, n_all, 0), outer):
+        odd += np.bincount(pair[even_odd(cells.start[a, 0], xy[at], xy[around[at]])], minlength=len(odd))
+    hit |= odd % 2 == 1
+    found = pd.DataFrame({"polygon": polygon[hit], "key": cells.keys[part[hit]]}).drop_duplicates()
+    return found["polygon"].to_numpy(), found["key"].to_numpy()
+
+
+def _lines(data: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+    """(corners, sizes) of little-endian line strings without nulls; None if any is something else."""
+    if data.null_count or not len(data):
+        return None
+    wide = pa.types.is_large_binary(data.type)
+    at = np.frombuffer(data.buffers()[1], np.int64 if wide else np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+    held, size = np.frombuffer(data.buffers()[2] or b"", np.uint8), np.diff(at)
+    if (size < 25).any():
+        return None
+    head = held[at[:-1, None] + np.arange(9)]
+    n = np.ascontiguousarray(head[:, 5:]).view("<u4")[:, 0].astype(np.int64)
+    if (head[:, :5] != (1, LINE, 0, 0, 0)).any() or (size != 9 + 16 * n).any():
+        return None
+    k, m = spread(n)
+    return held[(at[:-1][k] + 9 + 16 * m)[:, None] + np.arange(16)].view("<f8"), n
+
+
+def met_by(data: pa.Array, cells: Cells) -> pa.Array:
+    """The keys of the cells that each shape of WKB meets, in order; null for null."""
+    plain = _lines(data)
+    if plain:
+        xy, sizes = plain
+        row, rings_of, area = np.arange(len(data)), np.ones(len(data), np.int64), np.zeros(len(data), bool)
+    else:
+        found = [(k, *read_wkb(d)) for k, d in enumerate(data.to_pylist()) if d is not None]
+        polygons = [(k, kind in (POLYGON, MULTIPOLYGON), rings) for k, kind, shape in found for rings in shape if len(rings) and len(rings[0])]
+        polygons = [(k, is_area, [r for r in rings if len(r)]) for k, is_area, rings in polygons]
+        row, area = np.array([k for k, _, _ in polygons], np.int64), np.array([a for _, a, _ in polygons], bool)
+        rings_of, sizes = np.array([len(r) for _, _, r in polygons], np.int64), np.array([len(x) for _, _, r in polygons for x in r], np.int64)
+        xy = np.concatenate([np.zeros((0, 2)), *(x for _, _, r in polygons for x in r)])
+    polygon, key = met(xy, sizes, rings_of, area, cells) if len(row) else (np.zeros(0, np.int64), np.zeros(0, np.int16))
+    pairs = pd.DataFrame({"row": row[polygon], "key": key}).drop_duplicates().sort_values(["row", "key"])
+    ends = np.searchsorted(pairs["row"].to_numpy(), np.arange(len(data) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs["key"].to_numpy(np.int16)), mask=data.is_null())
+
+
+def cells_met(wkb: Column, bounds: list[tuple[int, bytes]]) -> Column:
+    """array<smallint>: the keys of (key, polygon without holes as WKB) whose area a shape meets, edges included, in order; null for null."""
+    held = SparkSession.active().sparkContext.broadcast(bounds)  # as many as there are cells, whatever the data
+
+    @F.arrow_udf("array<smallint>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        parts = [(key, part) for key, area in held.value for rings in read_wkb(area)[1] for part in turned(rings[0])]
+        cells = Cells(np.array([k for k, _ in parts], np.int16), [r for _, r in parts]) if parts else None
+        for data in batches:
+            yield met_by(data, cells) if cells else pa.array([None if d is None else [] for d in data.to_pylist()], pa.list_(pa.int16()))
 
     return run(wkb)
 
 
-def intersects(wkb: Column, area: Column) -> Column:
-    """Whether a shape meets a polygon without holes, edges included; null where either is."""
-
-    @F.pandas_udf("boolean")
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        shapes_: dict[bytes, tuple[int, Shape]] = {}
-        areas_: dict[bytes, list[Ring]] = {}
-        out = []
-        for x, y in zip(a, b, strict=True):
-            if x is None or y is None:
-                out.append(None)
-                continue
-            x, y = bytes(x), bytes(y)
-            if x not in shapes_:  # a batch's rows repeat both sides
-                shapes_[x] = read_wkb(x)
-            if y not in areas_:
-                areas_[y] = [part for rings in read_wkb(y)[1] for part in turned(rings[0])]
-            out.append(any(meet(*shapes_[x], ring) for ring in areas_[y]))
-        return pd.Series(out, index=a.index, dtype=object)
-
-    return run(wkb, area)
-
-
 def simplified(ring: Ring, tolerance: float) -> Ring:
     """Douglas and Peucker: the points that stand further than ``tolerance`` from the line between kept ones; ends stay."""
     keep = np.zeros(len(ring), bool)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, grid, keys, shapes
@@ -33,28 +33,30 @@ def cell_bounds(spark: SparkSession) -> DataFrame:
     return rows.select("id", "h3_0", "h3_1", "h3_2", geometry.box_wkb(geometry.bbox(F.col("ring"))).alias("bbox"), polygon(closed).alias("bounds"))
 
 
-def met_cells(rows: DataFrame, shape: str, bounds: DataFrame) -> DataFrame:
-    """(id, cell): the coarse cells whose area each row's shape meets, each once.
+def cells_of(shape: str, bounds: DataFrame) -> Column:
+    """The coarse cells whose area a row's shape meets, in order; empty if there are none, null for null.
 
-    Every shape names its candidate cells, these are joined by key with the cells' table (41162 rows
-    whatever the data) and refined exactly; shapes are never compared with all cells.
+    The cells' table (41162 rows whatever the data) goes to every task; a batch of shapes is held against the cells
+    whose boxes its own boxes meet, then refined exactly.
     """
-    named = rows.where(F.col(shape).isNotNull()).select("id", shape, F.explode(F.transform(shapes.candidate_cells(F.col(shape)), keys.coarse)).alias("cell"))
-    joined = named.join(F.broadcast(bounds.select(F.col("id").alias("cell"), "bounds")), "cell")
-    return joined.where(shapes.intersects(F.col(shape), F.col("bounds"))).select("id", "cell").distinct()
+    return shapes.cells_met(F.col(shape), [(r["id"], bytes(r["bounds"])) for r in bounds.select("id", "bounds").collect()])
+
+
+def met_cells(rows: DataFrame, shape: str, bounds: DataFrame) -> DataFrame:
+    """(id, cell): the coarse cells whose area each row's shape meets, each once."""
+    return rows.select("id", F.explode(cells_of(shape, bounds)).alias("cell")).distinct()
 
 
 def regions(rows: DataFrame, shape: str, bounds: DataFrame, how: str = "inner") -> DataFrame:
     """(id, regions): the cells each shape meets, in order; with ``left`` rows without any have null."""
-    found = met_cells(rows, shape, bounds).groupBy("id").agg(F.array_sort(F.collect_list("cell")).alias("regions"))
-    return found if how == "inner" else rows.select("id").join(found, "id", "left")
+    found = rows.select("id", cells_of(shape, bounds).alias("regions"))
+    return found.where(F.size("regions") > 0) if how == "inner" else found.select("id", F.when(F.size("regions") > 0, F.col("regions")).alias("regions"))
 
 
 def ways_of_several(way_rows: DataFrame, bounds: DataFrame) -> DataFrame:
     """The ways over several cells with ``h3_3_multi_regions``, by line: those that meet no cell are left out; one cell alone gives an empty array."""
-    several = way_rows.where(F.col("h33") == keys.SEVERAL)
-    found = regions(several, "lineStringWkb", bounds)
-    return several.join(found, "id").withColumn("h3_3_multi_regions", F.when(F.size("regions") > 1, F.col("regions")).otherwise(F.array().cast("array<smallint>"))).drop("regions")
+    found = way_rows.where(F.col("h33") == keys.SEVERAL).withColumn("regions", cells_of("lineStringWkb", bounds)).where(F.size("regions") > 0)
+    return found.withColumn("h3_3_multi_regions", F.when(F.size("regions") > 1, F.col("regions")).otherwise(F.array().cast("array<smallint>"))).drop("regions")
 
 
 def assembled(relations: DataFrame, located_ways: DataFrame) -> DataFrame:
