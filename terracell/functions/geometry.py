@@ -150,15 +150,19 @@ def smallest_circle(points: list[tuple[float, float]]) -> tuple[float, float, fl
     return circle
 
 
-def _circle(points: pd.Series) -> pd.DataFrame:
-    def one(ps: list | None) -> tuple[float, float, float]:
-        xy = [(p["lon"], p["lat"]) for p in ps] if ps is not None else []
-        xy = [p for p in xy if p[0] is not None and p[1] is not None and math.isfinite(p[0]) and math.isfinite(p[1])]
-        return smallest_circle(xy) if xy else (math.nan, math.nan, math.nan)
-
-    return pd.DataFrame([one(ps) for ps in points], columns=["lon", "lat", "radius"], dtype="float64")
+def _circle(points: pa.Array) -> pa.Array:
+    n, flat = points.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), points.flatten()
+    xy = np.stack([flat.field(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("lon", "lat")], axis=1)
+    ok, at, out = np.isfinite(xy).all(axis=1).tolist(), 0, []
+    places = list(map(tuple, xy.tolist()))
+    for m in n.tolist():
+        own = [p for p, has in zip(places[at : at + m], ok[at : at + m], strict=True) if has]
+        out.append(smallest_circle(own) if own else (math.nan,) * 3)
+        at += m
+    found = np.array(out, np.float64).reshape(-1, 3)
+    return pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(3)], ["lon", "lat", "radius"])
 
 
 def bounding_circle(points: Column) -> Column:
     """struct<lon, lat, radius> of the smallest circle around the points that have a place; NaN without any."""
-    return F.pandas_udf(_circle, "lon double, lat double, radius double")(points)
+    return F.arrow_udf(_circle, "lon double, lat double, radius double")(points)

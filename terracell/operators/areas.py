@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,6 @@ def cell_bounds(spark: SparkSession) -> DataFrame:
 
     @F.pandas_udf("binary")
     def polygon(rings: pd.Series) -> pd.Series:
-        import numpy as np
-
         return pd.Series([shapes.polygon_wkb([np.array([(p["lon"], p["lat"]) for p in r])]) for r in rings], index=rings.index, dtype=object)
 
     rows = cells.select(key(3).alias("id"), key(0).alias("h3_0"), key(1).alias("h3_1"), key(2).alias("h3_2")).withColumn("ring", ring)
@@ -68,26 +68,38 @@ def assembled(relations: DataFrame, located_ways: DataFrame) -> DataFrame:
     """
     wanted = relations.where(F.coalesce(F.col("tags")["type"], F.lit("")).isin("multipolygon", "boundary"))
     members = wanted.select(F.col("id").alias("relation"), F.explode(F.filter("members", lambda m: m["member_type"] == "W")).alias("m")).select("relation", F.col("m.member_id").alias("way")).distinct()
-    lines = members.join(located_ways.select(F.col("id").alias("way"), "points"), "way", "left")
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        shape = None
-        if rows["points"].notna().all():
-            ordered = rows.sort_values("way")
-            shape = shapes.assembled([([p["node_id"] for p in ps], np.array([(p["lon"], p["lat"]) for p in ps], np.float64)) for ps in ordered["points"] if len(ps)])
-        return pd.DataFrame({"id": [rows["relation"].iloc[0]], "wkb": [shapes.multipolygon_wkb(shape)]}) if shape else pd.DataFrame({"id": [], "wkb": []})
-
-    made = lines.groupBy("relation").applyInPandas(build, "id long, wkb binary")
+    point = lambda c: F.transform("points", lambda p: p[c]).alias(c)
+    places = located_ways.select(F.col("id").alias("way"), F.when(F.col("points").isNotNull(), F.struct(point("node_id"), point("lon"), point("lat"))).alias("at"))
+    lines = members.join(places, "way", "left").groupBy("relation").agg(F.array_sort(F.collect_list(F.struct("way", "at"))).alias("lines"))
+
+    @F.arrow_udf("binary")
+    def build(column: pa.Array) -> pa.Array:
+        n = column.value_lengths().to_numpy(zero_copy_only=False)
+        at = column.flatten().field("at")
+        known = at.is_valid().to_numpy(zero_copy_only=False)
+        ids, lon, lat = (at.field(c) for c in ("node_id", "lon", "lat"))
+        sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) * known
+        keep = pa.array(known)
+        ids, lon, lat = (c.filter(keep).flatten() for c in (ids, lon, lat))
+        ids, xy = ids.to_numpy(zero_copy_only=False).tolist(), np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in (lon, lat)], axis=1)
+        ends, last = np.cumsum(sizes).tolist(), np.cumsum(n).tolist()
+        out, first = [], 0
+        for end in last:
+            shape = None
+            if known[first:end].all():
+                shape = shapes.assembled([(ids[ends[k] - sizes[k] : ends[k]], xy[ends[k] - sizes[k] : ends[k]]) for k in range(first, end) if sizes[k]])
+            out.append(shapes.multipolygon_wkb(shape) if shape else None)
+            first = end
+        return pa.array(out, pa.binary())
+
+    made = lines.select(F.col("relation").alias("id"), build(F.col("lines")).alias("wkb")).where("wkb is not null")
     return made.join(wanted.select("id", "tags"), "id")
 
 
 def multipolygons(areas: DataFrame, bounds: DataFrame) -> DataFrame:
     """The multipolygon table from (id, wkb, tags): keys, scale in metres, box, centre, regions; in order of key."""
-    found = regions(areas, "wkb", bounds, "left")
-    circle = areas.select("id", shapes.circle_of(F.col("wkb")).alias("c"))
-    rows = areas.join(found, "id", "left").join(circle, "id")
+    # each row by its own shape: areas are made once, and joined with nothing
+    rows = areas.withColumn("regions", cells_of("wkb", bounds)).withColumn("regions", F.when(F.size("regions") > 0, F.col("regions"))).withColumn("c", shapes.circle_of(F.col("wkb")))
     lat, lon = F.col("c.lat"), F.col("c.lon")
     one = F.size("regions") == 1
     return rows.select(

@@ -51,3 +51,19 @@ def test_batches_equal_pairs():
     want = [[c for c, r in enumerate(rings) if shapes.meet(kind, s, r)] for kind, s in found]
     assert shapes.met_by(pa.array([*data, None], pa.binary()), cells).to_pylist() == [*want, None]
     assert shapes.met_by(pa.array([b"", *data[1::4]], pa.binary())[1:], cells).to_pylist() == want[1::4] and sum(map(len, want)) > 1000
+
+
+def test_areas_are_made_in_batches_and_once(spark, bounds):
+    def points(*at):
+        return [(n, float(y), float(x)) for n, x, y in at]
+
+    ways = [(k, points((1, 100 + k, 13), (2, 101 + k, 13), (3, 101 + k, 14), (1, 100 + k, 13))) for k in range(3)] + [(8, points((1, 0, 0), (2, 1, 1))), (9, None), (10, [])]
+    member = "array<struct<member_id:bigint,member_type:string,member_role:string>>"
+    relations = [(k, {"type": "multipolygon"}, [(w, "W", "") for w in of]) for k, of in enumerate([(0,), (1, 10), (0, 9), (8,), (2, 99), (2, 1), (10,)])]
+    made = areas.assembled(spark.createDataFrame(relations, f"id long, tags map<string,string>, members {member}"), spark.createDataFrame(ways, f"id long, points {P}"))
+    got = {r.id: [len(p) for p in shapes.read_wkb(bytes(r.wkb))[1]] for r in made.collect()}
+    assert got == {0: [1], 1: [1], 5: [1, 1]}
+    assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().executedPlan().toString()
+    rows = spark.createDataFrame([(r.id, bytes(r.wkb), None) for r in made.collect()], "id long, wkb binary, tags map<string,string>")
+    table = areas.multipolygons(rows, bounds)
+    assert sorted(r.id for r in table.collect()) == [0, 1, 5] and "Join" not in table._jdf.queryExecution().executedPlan().toString()
