@@ -12,7 +12,8 @@ smaller doc_id. Finding those strings over any number of documents:
    if its anchor has other contexts as well. A passage in a third of all documents is one
    context there.
 3. Contexts that share an anchor share a subtree of the suffix tree, so anchors deal the suffix
-   array into independent parts. Each part sorts its suffixes, takes common prefixes of
+   array into independent parts. Each part sorts the suffixes whose first ``length`` bytes are
+   there more than once (others are in no interval of that length), takes common prefixes of
    neighbours and scans them with a stack into the tree of intervals. Intervals of at least
    ``length`` bytes whose occurrences differ in the byte to the left are maximal repeats; all
    their occurrences but those of the smallest document are marked. Intervals that do not
@@ -50,18 +51,19 @@ _LOW, _PLACES = np.uint64(0xFFFF), np.arange(1 << 16, dtype=np.uint64)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
 
-def gram_hashes(x: np.ndarray) -> np.ndarray:
-    """Hash of the 16 bytes from each position (GRAM doublings), in slabs that stay in cache."""
-    n = len(x) - GRAM + 1
+def gram_hashes(x: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Hash of the ``size`` bytes from each position (by doubling), in slabs that stay in cache."""
+    n = len(x) - size + 1
     out = np.empty(max(0, n), np.uint64)
     for at in range(0, n, SLAB):
-        h = x[at : at + SLAB + GRAM - 1].astype(np.uint64) + np.uint64(1)
+        h = x[at : at + SLAB + size - 1].astype(np.uint64) + np.uint64(1)
         h *= _A
         k = 1
-        while k < GRAM:
-            h = h[:-k] * _B + h[k:]
+        while k < size:
+            step = min(k, size - k)
+            h = h[:-step] * _B + h[step:]
             h ^= h >> _S29
-            k *= 2
+            k += step
         h *= _A
         h ^= h >> _S32
         out[at : at + SLAB] = h
@@ -139,34 +141,41 @@ CONTEXT = "doc long, th long, h long, ctx binary, begin long, stop long"
 def contexts(docs: DataFrame, info: DataFrame, length: int) -> DataFrame:
     """Rows with ctx: contexts for a closer look, from ``begin`` to ``stop``. Without: bytes that are gone."""
 
-    def one(doc: int, th: int, data: bytes, ch: np.ndarray, gone: np.ndarray, out: list) -> None:
-        _, h, firsts = anchors(data, length)
-        lost, looked = set(ch[gone].tolist()), set(ch[~gone].tolist())
-        ends = [*firsts[1:].tolist(), len(data) - length + 1]
-        begin = end = -1
-        for a, b, mark, c in zip(firsts.tolist(), ends, h.view(np.int64).tolist(), np.array(context_hashes(data, firsts, length), np.uint64).view(np.int64).tolist(), strict=True):
-            if c in lost:
-                if a != end:
-                    if end >= 0:
-                        out.append((doc, th, None, None, begin, end + length - 1))
-                    begin = a
-                end = b
-            elif c in looked:
-                out.append((doc, th, mark, data[a : b + length - 1], a, b + length - 1))
-        if end >= 0:
-            out.append((doc, th, None, None, begin, end + length - 1))
+    def rows(doc: list, th: list, h: np.ndarray | None, ctx: list[bytes] | None, begin: list, stop: list) -> pa.RecordBatch:
+        longs = lambda x: pa.array(np.concatenate(x))
+        n = sum(map(len, begin))
+        columns = [longs(doc), longs(th), pa.nulls(n, pa.int64()) if h is None else pa.array(h), pa.nulls(n, pa.binary()) if ctx is None else pa.array(ctx, pa.binary()), longs(begin), longs(stop)]
+        return pa.RecordBatch.from_arrays(columns, ["doc", "th", "h", "ctx", "begin", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
-                batch, out = whole.slice(start, 256), []
+                batch = whole.slice(start, 256)
+                lost, looked, marks, ctx = ([], [], [], []), ([], [], [], []), [], []  # doc, th, begin and stop of each kind
                 x = batch.column(3)
                 at, ch, gone = x.offsets.to_numpy(), x.values.field(0).to_numpy(), x.values.field(1).to_numpy(zero_copy_only=False)
                 for k, (doc, th, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True)):
-                    one(doc, th, text.as_py(), ch[at[k] : at[k + 1]], gone[at[k] : at[k + 1]], out)
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "th", "h", "ctx", "begin", "stop"])
+                    data = text.as_py()
+                    _, h, begin = anchors(data, length)
+                    if not len(h):
+                        continue
+                    end = np.append(begin[1:], len(data) - length + 1)
+                    mine = np.array(context_hashes(data, begin, length), np.uint64).view(np.int64)
+                    own, out = ch[at[k] : at[k + 1]], gone[at[k] : at[k + 1]]
+                    order = np.lexsort((~out, own))
+                    own, out = own[order], out[order]
+                    near = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+                    known, out = own[near] == mine, out[near]
+                    went, look = known & out, np.flatnonzero(known & ~out)
+                    edge = np.flatnonzero(np.diff(went, prepend=False, append=False))  # runs of contexts that are gone
+                    for kind, b, e in ((lost, begin[edge[::2]], end[edge[1::2] - 1]), (looked, begin[look], end[look])):
+                        for c, value in zip(kind, (np.full(len(b), doc), np.full(len(b), th), b, e + length - 1), strict=True):
+                            c.append(value)
+                    marks.append(h[look])
+                    ctx += [data[b:e] for b, e in zip(looked[2][-1].tolist(), looked[3][-1].tolist(), strict=True)]
+                if marks:
+                    yield rows(*lost[:2], None, None, *lost[2:])
+                    yield rows(*looked[:2], np.concatenate(marks).view(np.int64), ctx, *looked[2:])
 
     return docs.join(info, "doc").select("doc", "th", "text", "x").mapInArrow(run, CONTEXT)
 
@@ -209,15 +218,32 @@ def maximal_repeats(lcp: list[int], docs: list[int], left: list[int], least: int
                 stack.append([now, first, doc, byte])
 
 
-def repeats(ctx: list[bytes], docs: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
-    """(row, from, to): bytes of contexts that a context of a smaller document has too."""
-    size = np.array([len(x) for x in ctx], np.int64)
-    wide, windows = int(size.max()), size - length + 1
-    flat = np.frombuffer(b"".join(ctx) + bytes(wide), np.uint8)
-    row = np.repeat(np.arange(len(ctx)), windows)
+def met_again(h: np.ndarray) -> np.ndarray:
+    """Which of the values are there more than once."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    out = np.zeros(len(h), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def repeats(ctx: np.ndarray, size: np.ndarray, docs: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
+    """(row, from, to): bytes of contexts, which lie one behind the other, that a context of a smaller document has too.
+
+    A suffix whose first ``length`` bytes no other one has is in no interval of that length; by
+    the hash of these bytes it does not enter the suffix array. Equal hashes prove nothing: what enters is compared by bytes.
+    """
+    windows = size - length + 1
+    row = np.repeat(np.arange(len(size)), windows)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    left_over = size[row] - offset
     start = (np.cumsum(size) - size)[row] + offset
+    enters = np.flatnonzero(met_again(gram_hashes(ctx, length)[start]))
+    if not len(enters):
+        return
+    row, offset, start = row[enters], offset[enters], start[enters]
+    left_over = size[row] - offset
+    wide = int(left_over.max())
+    flat = np.concatenate((ctx, np.zeros(wide, np.uint8)))
     suffixes = np.lib.stride_tricks.sliding_window_view(flat, wide)[start]
     suffixes[np.arange(wide) >= left_over[:, None]] = 0
     order = np.argsort(suffixes.view(f"S{wide}").ravel(), kind="stable")
@@ -237,10 +263,14 @@ def repeats(ctx: list[bytes], docs: np.ndarray, length: int) -> Iterator[tuple[i
                     yield int(row[i]), int(offset[i]), int(offset[i]) + n
 
 
-def solved(rows: list[tuple], length: int) -> pa.RecordBatch:
+def solved(part: pa.RecordBatch, length: int) -> pa.RecordBatch:
     """(doc, th, a, b) of whole groups of (doc, th, h, ctx, begin); windows of different anchors are never equal."""
-    out = [(rows[k][0], rows[k][1], rows[k][4] + a, rows[k][4] + b) for k, a, b in repeats([r[3] for r in rows], np.array([r[0] for r in rows], np.int64), length)]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 4)], ["doc", "th", "a", "b"])
+    doc, th, begin = (part.column(k).to_numpy() for k in (0, 1, 4))
+    x = part.column(3).cast(pa.binary())
+    at = np.frombuffer(x.buffers()[1], np.int32)[x.offset : x.offset + len(x) + 1].astype(np.int64)
+    flat = np.frombuffer(x.buffers()[2], np.uint8)[at[0] : at[-1]]
+    k, a, b = np.array(list(repeats(flat, np.diff(at), doc, length)), np.int64).reshape(-1, 3).T
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[k], th[k], begin[k] + a, begin[k] + b)], ["doc", "th", "a", "b"])
 
 
 def close_look(found: DataFrame, length: int, most: int = 4096) -> DataFrame:
@@ -249,22 +279,18 @@ def close_look(found: DataFrame, length: int, most: int = 4096) -> DataFrame:
     hot = stored(looked.groupBy("h").count().where(F.col("count") > most).select("h"))
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # groups by anchor, solved together; each at most ``most`` rows
-        group: list[tuple] = []
+        rest: list[pa.RecordBatch] = []  # the last anchor's rows, which may go on
         for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and group[0][2] != r[2]:
-                    if held and len(held) + len(group) > most:
-                        yield solved(held, length)
-                        held = []
-                    held += group
-                    group = []
-                group.append(r)
-        if held and len(held) + len(group) > most:
-            yield solved(held, length)
-            held = []
-        if held or group:
-            yield solved(held + group, length)
+            whole = pa.concat_batches([*rest, batch])
+            h = whole.column(2).to_numpy()
+            ends, start = np.flatnonzero(h[1:] != h[:-1]) + 1, 0
+            while len(ends):  # as many groups as ``most`` rows hold, solved together
+                last = max(0, int(np.searchsorted(ends, start + most, "right")) - 1)
+                yield solved(whole.slice(start, ends[last] - start), length)
+                start, ends = int(ends[last]), ends[last + 1 :]
+            rest = [whole.slice(start)]
+        if rest and rest[0].num_rows:
+            yield solved(rest[0], length)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

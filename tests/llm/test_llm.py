@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -636,6 +637,24 @@ def test_suffix_dedup(docs, empty):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
+def test_only_windows_that_are_met_again_are_sorted(monkeypatch):
+    rng, sorted_ = random.Random(9), []
+    monkeypatch.setattr(suffix_dedup, "common_prefixes", lambda rows, sizes, f=suffix_dedup.common_prefixes: sorted_.append(len(rows)) or f(rows, sizes))
+    for k in range(60):
+        ctx = [bytes(rng.choice(b"ab" if k % 3 else b"abcdefgh\0") for _ in range(rng.randint(8, 13))) for _ in range(rng.randint(1, 30))]
+        ctx += [x[2:] + b"zz" for x in ctx[: k % 5]]
+        docs = [rng.randint(0, 9) for _ in ctx]
+        windows = [(d, x[o : o + 8], (r, o)) for r, (d, x) in enumerate(zip(docs, ctx, strict=True)) for o in range(len(x) - 7)]
+        want = {(r, i) for d, w, (r, o) in windows for i in range(o, o + 8) if any(e < d and v == w for e, v, _ in windows)}
+        times = Counter(w for _, w, _ in windows)
+        sorted_.clear()
+        column = pa.array([b"skipped", *ctx], pa.binary()).slice(1)
+        part = pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(range(len(ctx)), pa.int64()), pa.array([1] * len(ctx), pa.int64()), column, pa.array([0] * len(ctx), pa.int64())], ["doc", "th", "h", "ctx", "begin"])
+        got = suffix_dedup.solved(part, 8)
+        assert {(r["th"], i) for r in got.to_pylist() for i in range(r["a"], r["b"])} == want
+        assert sum(sorted_) == sum(n for n in times.values() if n > 1)
+
+
 def test_frequent_anchors_go_window_by_window(spark):
     rng = random.Random(6)
     ctx = [(k, k, k % 3, bytes(rng.choice((b"ab", b"cd", b"ef")[k % 3]) for _ in range(rng.randint(10, 14))), 100 * k) for k in range(200)]
